@@ -2,9 +2,9 @@
 
 from __future__ import annotations
 
-from framewright.llm import mixing, quality, sharding
+from framewright.llm import mixing, quality, sharding, simhash
 
-MODULES = [quality, sharding, mixing]
+MODULES = [simhash, quality, sharding, mixing]
 
 QUERIES = {name: f for m in MODULES for name, f in m.QUERIES.items()}
 ORACLE = {name: sql for m in MODULES for name, sql in m.ORACLE.items()}
