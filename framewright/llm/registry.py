@@ -2,9 +2,9 @@
 
 from __future__ import annotations
 
-from framewright.llm import mixing, quality, sharding, simhash, tokencount, tokenfiles
+from framewright.llm import langid, mixing, quality, sharding, simhash, tokencount, tokenfiles
 
-MODULES = [tokencount, simhash, quality, sharding, tokenfiles, mixing]
+MODULES = [langid, tokencount, simhash, quality, sharding, tokenfiles, mixing]
 
 QUERIES = {name: f for m in MODULES for name, f in m.QUERIES.items()}
 ORACLE = {name: sql for m in MODULES for name, sql in m.ORACLE.items()}
