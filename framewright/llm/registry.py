@@ -2,9 +2,9 @@
 
 from __future__ import annotations
 
-from framewright.llm import decontamination, langid, mixing, quality, sharding, simhash, tokencount, tokenfiles
+from framewright.llm import decontamination, langid, licenses, linededup, mixing, quality, sharding, simhash, tokencount, tokenfiles
 
-MODULES = [langid, tokencount, simhash, decontamination, quality, sharding, tokenfiles, mixing]
+MODULES = [linededup, langid, tokencount, simhash, licenses, sharding, decontamination, quality, tokenfiles, mixing]
 
 QUERIES = {name: f for m in MODULES for name, f in m.QUERIES.items()}
 ORACLE = {name: sql for m in MODULES for name, sql in m.ORACLE.items()}
