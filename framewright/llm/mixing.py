@@ -23,6 +23,8 @@ FRAGMENT_WORDS = 50
 #: Rows that share one bucket of ranks, and so one task's sort, on average.
 BUCKET_ROWS = 50_000
 MIN_BUCKETS = 64
+#: A source's rows are dealt over so many tasks where they meet its targets.
+SALTS = 16
 
 
 def source_targets(per_source: DataFrame, max_copies: int = MAX_COPIES, cycle: int = WEIGHT_CYCLE) -> DataFrame:
@@ -75,8 +77,8 @@ def mix(rows: DataFrame, max_copies: int = MAX_COPIES, seed: str = SEED) -> Data
     buckets, sums by bucket find the one through which the cut goes, and only that
     bucket's rows, about ``BUCKET_ROWS``, are sorted together. Sources are joined to
     rows by a table of one row for each source, which Spark sends to all executors
-    only if it is small when measured at run time; else the join shuffles and its
-    skewed partitions are split.
+    only if it is small when measured at run time; else rows and sources meet by
+    source and salt, so that no source's rows meet in one task.
     """
     sums = cut_lineage(rows.groupBy("source").agg(F.coalesce(F.sum("size"), F.lit(0)).alias("source_size"), F.count("*").alias("n_rows")))
     per_copy = F.when(F.col("source_size") > 0, F.col("target") / F.col("source_size")).otherwise(F.lit(0.0))
@@ -89,8 +91,11 @@ def mix(rows: DataFrame, max_copies: int = MAX_COPIES, seed: str = SEED) -> Data
     )
     plan = cut_lineage(plan)
 
+    salted = rows.withColumn("salt", F.pmod(F.xxhash64("doc_id"), F.lit(SALTS)).cast("int"))
+
     def ranked(right: DataFrame) -> DataFrame:
-        joined = by_source(rows, right, "inner")
+        right = right.withColumn("_salt", F.explode(F.sequence(F.lit(0), F.lit(SALTS - 1)))).withColumnRenamed("source", "_source")
+        joined = salted.join(right, salted["source"].eqNullSafe(right["_source"]) & (F.col("salt") == F.col("_salt"))).drop("_source", "_salt", "salt")
         joined = joined.withColumn("rank", pareto_rank(F.col("fraction"), F.col("exposure"), uniform(F.lit(seed), F.col("doc_id"))))
         return joined.withColumn("bucket", F.floor(F.col("rank") * F.col("buckets")))
 
