@@ -23,6 +23,8 @@ FRAGMENT_WORDS = 50
 #: Rows that share one bucket of ranks, and so one task's sort, on average.
 BUCKET_ROWS = 50_000
 MIN_BUCKETS = 64
+#: Most sources of a plan that is sent to all executors: some MB at a few hundred bytes each.
+BROADCAST_SOURCES = 10_000
 #: A source's rows are dealt over so many tasks where they meet its targets.
 SALTS = 16
 
@@ -65,20 +67,40 @@ def by_source(left: DataFrame, right: DataFrame, how: str) -> DataFrame:
     return left.join(right, left["source"].eqNullSafe(right["_source"]), how).drop("_source")
 
 
-def mix(rows: DataFrame, max_copies: int = MAX_COPIES, seed: str = SEED) -> DataFrame:
-    """rows (doc_id, source, size, exposure) to the same with source_size, target and ``copies``.
+def ranked(rows: DataFrame, plan: DataFrame, seed: str, plan_rows: int | None = None) -> DataFrame:
+    """rows with their source's part of the plan, their rank, and the bucket it falls in.
+
+    A plan of at most ``BROADCAST_SOURCES`` sources (``plan_rows``, counted) is sent to all
+    executors; else rows and sources meet by source and salt, so that no source's
+    rows meet in one task.
+    """
+    if plan_rows is not None and plan_rows <= BROADCAST_SOURCES:
+        right = plan.withColumnRenamed("source", "_source")
+        joined = rows.join(F.broadcast(right), rows["source"].eqNullSafe(right["_source"])).drop("_source")
+    else:
+        right = plan.withColumn("_salt", F.explode(F.sequence(F.lit(0), F.lit(SALTS - 1)))).withColumnRenamed("source", "_source")
+        salted = rows.withColumn("salt", F.pmod(F.xxhash64("doc_id"), F.lit(SALTS)).cast("int"))
+        joined = salted.join(right, salted["source"].eqNullSafe(right["_source"]) & (F.col("salt") == F.col("_salt"))).drop("_source", "_salt", "salt")
+    joined = joined.withColumn("rank", pareto_rank(F.col("fraction"), F.col("exposure"), uniform(F.lit(seed), F.col("doc_id"))))
+    return joined.withColumn("bucket", F.floor(F.col("rank") * F.col("buckets")))
+
+
+def _drawn() -> Column:
+    """Whether a ranked row is before its source's cut."""
+    upto = F.struct("rank", "doc_id", "size") <= F.col("cut")
+    return F.coalesce((F.col("fraction") > 0) & ((F.col("bucket") < F.col("edge")) | ((F.col("bucket") == F.col("edge")) & upto)), F.lit(False))
 
-    Whole copies only. The cut through the order is the one that comes nearest the
-    target; then one further document is added (or one taken left out) if its size
-    brings the source nearer still. Seeds and ids alone decide, so reruns agree.
-    Rows with equal id and size are ranked alike and stay or go together.
+
+def plan_mix(rows: DataFrame, max_copies: int = MAX_COPIES, seed: str = SEED) -> tuple[DataFrame, int]:
+    """rows (doc_id, source, size, exposure) to a row for each source: target, whole copies, and where its sample is cut; and their number.
+
+    The cut through the order is the one that comes nearest the target; then one
+    further document is added (or one taken left out) if its size brings the source
+    nearer still.
 
     A source may hold any share of the rows: it is never gathered. Ranks are cut into
     buckets, sums by bucket find the one through which the cut goes, and only that
-    bucket's rows, about ``BUCKET_ROWS``, are sorted together. Sources are joined to
-    rows by a table of one row for each source, which Spark sends to all executors
-    only if it is small when measured at run time; else rows and sources meet by
-    source and salt, so that no source's rows meet in one task.
+    bucket's rows, about ``BUCKET_ROWS``, are sorted together.
     """
     sums = cut_lineage(rows.groupBy("source").agg(F.coalesce(F.sum("size"), F.lit(0)).alias("source_size"), F.count("*").alias("n_rows")))
     per_copy = F.when(F.col("source_size") > 0, F.col("target") / F.col("source_size")).otherwise(F.lit(0.0))
@@ -90,22 +112,15 @@ def mix(rows: DataFrame, max_copies: int = MAX_COPIES, seed: str = SEED) -> Data
         .withColumn("buckets", F.greatest(F.lit(MIN_BUCKETS), F.ceil(F.col("n_rows") / BUCKET_ROWS)))
     )
     plan = cut_lineage(plan)
+    n = plan.count()
 
-    salted = rows.withColumn("salt", F.pmod(F.xxhash64("doc_id"), F.lit(SALTS)).cast("int"))
-
-    def ranked(right: DataFrame) -> DataFrame:
-        right = right.withColumn("_salt", F.explode(F.sequence(F.lit(0), F.lit(SALTS - 1)))).withColumnRenamed("source", "_source")
-        joined = salted.join(right, salted["source"].eqNullSafe(right["_source"]) & (F.col("salt") == F.col("_salt"))).drop("_source", "_salt", "salt")
-        joined = joined.withColumn("rank", pareto_rank(F.col("fraction"), F.col("exposure"), uniform(F.lit(seed), F.col("doc_id"))))
-        return joined.withColumn("bucket", F.floor(F.col("rank") * F.col("buckets")))
-
-    by_bucket = ranked(plan).groupBy("source", "bucket").agg(F.sum("size").alias("bucket_size"), F.first("left").alias("left"))
+    by_bucket = ranked(rows, plan, seed, n).groupBy("source", "bucket").agg(F.sum("size").alias("bucket_size"), F.first("left").alias("left"))
     start = F.coalesce(F.sum("bucket_size").over(Window.partitionBy("source").orderBy("bucket").rowsBetween(Window.unboundedPreceding, -1)), F.lit(0))
     edge = by_bucket.withColumn("start", start).where((F.col("start") <= F.col("left")) & (F.col("left") < F.col("start") + F.col("bucket_size")))
     edge = cut_lineage(edge.select("source", F.col("bucket").alias("edge"), "start"))
-    plan = by_source(plan, edge, "left")
+    plan = cut_lineage(by_source(plan, edge, "left"))
 
-    in_edge = ranked(plan).where(F.col("bucket") == F.col("edge"))
+    in_edge = ranked(rows, plan, seed, n).where(F.col("bucket") == F.col("edge"))
     order = Window.partitionBy("source").orderBy("rank", "doc_id", "size")
     before = F.col("start") + F.coalesce(F.sum("size").over(order.rowsBetween(Window.unboundedPreceding, -1)), F.lit(0))
     in_edge = in_edge.withColumn("before", before)
@@ -114,27 +129,52 @@ def mix(rows: DataFrame, max_copies: int = MAX_COPIES, seed: str = SEED) -> Data
     plan = by_source(plan, cut, "left")
     plan = cut_lineage(plan.withColumn("short", F.col("left") - F.coalesce("end", "start", F.lit(0))))
 
-    taken = (F.col("fraction") > 0) & ((F.col("bucket") < F.col("edge")) | ((F.col("bucket") == F.col("edge")) & F.coalesce(F.struct("rank", "doc_id", "size") <= F.col("cut"), F.lit(False))))
-    drawn = ranked(plan).withColumn("taken_one", F.coalesce(taken, F.lit(False)))
     # One more document in, or one out, where that leaves less than is short now.
     miss = F.abs(F.abs("short") - F.col("size"))
-    useful = (F.col("fraction") > 0) & (F.col("size") > 0) & (miss < F.abs("short")) & (F.col("taken_one") == (F.col("short") < 0))
-    fit = drawn.where(useful).groupBy("source").agg(F.min(F.struct(miss.alias("miss"), F.col("rank"), F.col("doc_id"), F.col("size"))).alias("fit"))
-    plan = cut_lineage(by_source(plan, fit, "left"))
-    drawn = ranked(plan)
-    swapped = F.coalesce((F.col("doc_id") == F.col("fit.doc_id")) & (F.col("rank") == F.col("fit.rank")) & (F.col("size") == F.col("fit.size")), F.lit(False))
-    copies = F.col("whole") + (F.coalesce(taken, F.lit(False)) != swapped).cast("long")
+    useful = (F.col("fraction") > 0) & (F.col("size") > 0) & (miss < F.abs("short")) & (_drawn() == (F.col("short") < 0))
+    fit = ranked(rows, plan, seed, n).where(useful).groupBy("source").agg(F.min(F.struct(miss.alias("miss"), F.col("rank"), F.col("doc_id"), F.col("size"))).alias("fit"))
+    return cut_lineage(by_source(plan, fit, "left")), n
+
+
+def draw(rows: DataFrame, plan: DataFrame, plan_rows: int, max_copies: int = MAX_COPIES, seed: str = SEED) -> DataFrame:
+    """rows (doc_id, source, size, exposure, ...) with source_size, target and ``copies``, of a plan that was made for them."""
+    drawn = ranked(rows, plan, seed, plan_rows)
+    swapped = F.coalesce(F.col("doc_id").eqNullSafe(F.col("fit.doc_id")) & (F.col("rank") == F.col("fit.rank")) & (F.col("size") == F.col("fit.size")), F.lit(False))
+    copies = F.col("whole") + (_drawn() != swapped).cast("long")
     return drawn.withColumn("copies", F.least(copies, F.lit(max_copies).cast("long"))).select(*rows.columns, "source_size", "target", "copies")
 
 
+def mix(rows: DataFrame, max_copies: int = MAX_COPIES, seed: str = SEED) -> DataFrame:
+    """rows (doc_id, source, size, exposure) to the same with source_size, target and ``copies``, whole ones only.
+
+    Seed and ids alone decide, so reruns agree. Rows with equal id and size are ranked
+    alike and stay or go together.
+    """
+    plan, n = plan_mix(rows, max_copies, seed)
+    return draw(rows, plan, n, max_copies, seed)
+
+
+def mixed_documents(docs: DataFrame) -> DataFrame:
+    """The rows of docs, all columns, each as often as the mix takes it."""
+    plan, n = plan_mix(cut_lineage(measured(docs)))
+    own = docs.columns
+    size = word_count(F.col("text"))
+    named = docs.select(*[F.col(c).alias(f"own_{c}") for c in own], "doc_id", "source", size.alias("size")).withColumn("exposure", exposure(F.col("size")))
+    taken = draw(named, plan, n).where(F.col("copies") > 0)
+    return taken.withColumn("copy", F.explode(F.sequence(F.lit(1).cast("long"), F.col("copies")))).select(*[F.col(f"own_{c}").alias(c) for c in own])
+
+
 def word_count(text: Column) -> Column:
     return F.coalesce(F.regexp_count(text, F.lit(WORD)), F.lit(0)).cast("long")
 
 
+def exposure(size: Column) -> Column:
+    return F.when(size < FRAGMENT_WORDS, 0.5).otherwise(1.0)
+
+
 def measured(docs: DataFrame) -> DataFrame:
     """doc_id, source, size in words, exposure."""
-    size = word_count(F.col("text"))
-    return docs.select("doc_id", "source", size.alias("size")).withColumn("exposure", F.when(F.col("size") < FRAGMENT_WORDS, 0.5).otherwise(1.0))
+    return docs.select("doc_id", "source", word_count(F.col("text")).alias("size")).withColumn("exposure", exposure(F.col("size")))
 
 
 def op10_pareto_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
