@@ -1 +1 @@
-
+"""Scalar functions, all built of Spark's own."""

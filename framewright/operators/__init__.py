@@ -1 +1 @@
-
+"""Relational operators on frames, artifacts, parameters, command lines and run events."""

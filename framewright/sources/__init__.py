@@ -1 +1 @@
-
+"""Readers: config files, media files, video frames."""

@@ -1 +1 @@
-
+"""The same event logic over streams."""
