@@ -32,7 +32,9 @@ class _FrameReader(DataSourceReader):
     def partitions(self) -> list[InputPartition]:
         return [_Video(p) for p in self.paths]
 
-    def read(self, partition: _Video) -> Iterator[tuple]:
+    def read(self, partition: _Video | None) -> Iterator[tuple]:
+        if partition is None:  # no paths
+            return
         try:
             import cv2
         except ImportError as e:
