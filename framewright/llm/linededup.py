@@ -58,10 +58,12 @@ def line_dedup(docs: DataFrame) -> DataFrame:
     Every row stays, with an empty text if all its lines go; texts that lose nothing are
     unchanged, to the byte. Null texts stay null. doc_id names a document: of rows
     that repeat it the first occurrence is told by the place in the text only, and
-    all rows of the id lose the lines at the same places.
+    all rows of the id lose the lines at the same places. Columns of docs that are named
+    like those added are replaced.
     """
     gone = cut_lineage(removed_lines(docs.select("doc_id", "text"))).withColumnRenamed("doc_id", "_id").withColumnRenamed("gone", "_gone")
-    joined = docs.join(gone, docs["doc_id"].eqNullSafe(F.col("_id")), "left").drop("_id")
+    own = docs.select("doc_id", "text", F.struct(*docs.columns).alias("_row"))  # so that no column of docs is taken for one of ours
+    joined = own.join(gone, F.col("doc_id").eqNullSafe(F.col("_id")), "left")
     joined = joined.withColumn("_places", F.array_sort(F.coalesce("_gone", F.array().cast("array<int>"))))
     raw = F.split("text", "\n")
     stay = F.array_except(F.sequence(F.lit(0), F.size("_raw") - 1), F.col("_places"))
@@ -71,8 +73,9 @@ def line_dedup(docs: DataFrame) -> DataFrame:
     lasts = F.filter("_places", lambda p, i: F.coalesce(F.get("_places", i + 1) != p + 1, F.lit(True)))
     spans = F.zip_with(firsts, lasts, lambda a, b: F.struct(a.alias("first"), b.alias("last")))
     n_lines = F.size(F.filter(F.split(F.coalesce("text", F.lit("")), "\n"), lambda x: x.rlike(r"[^\x20\x09-\x0D]"))).cast("long")
-    columns = [text.alias("text") if c == "text" else F.col(c) for c in docs.columns]
-    return joined.select(*columns, n_lines.alias("n_lines"), F.size("_places").cast("long").alias("n_removed"), spans.alias("spans"))
+    added = {"n_lines": n_lines, "n_removed": F.size("_places").cast("long"), "spans": spans}
+    columns = [text.alias("text") if c == "text" else F.col("_row")[c].alias(c) for c in docs.columns if c not in added]
+    return joined.select(*columns, *[c.alias(k) for k, c in added.items()])
 
 
 def op1_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:

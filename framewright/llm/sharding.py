@@ -103,7 +103,8 @@ def shard(df: DataFrame, order: list[str], n_shards: int = N_SHARDS, law: str =
     window runs over all rows and no shard is gathered in one task. The ranged rows
     are checkpointed: counts and places then refer to the same partitions even when
     an executor is lost. Rows that are equal in all of ``order`` take neighbouring
-    slots in any order. Nulls sort first. An empty df stays empty.
+    slots in any order. Nulls sort first. An empty df stays empty. Columns of df that are
+    named like those added are replaced.
     """
     if law not in ("rows", "bytes"):
         raise ValueError(f"unknown law: {law}")

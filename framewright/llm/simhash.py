@@ -256,7 +256,8 @@ def near_dedup(docs: DataFrame) -> DataFrame:
     Rows without an id cannot be a component's first document and all stay.
     """
     found = cut_lineage(classes(docs).where(F.col("doc_id") == F.col("component_id")).groupBy("doc_id").count())
-    kept = docs.where(F.col("doc_id").isNotNull()).join(found.select(F.col("doc_id").alias("_kept")), F.col("doc_id") == F.col("_kept"), "left_semi")
+    kept = docs.where(F.col("doc_id").isNotNull())
+    kept = kept.join(found.select("doc_id"), "doc_id", "left_semi").select(*docs.columns)
     if not found.where(F.col("count") > 1).isEmpty():
         kept = kept.dropDuplicates(["doc_id"])
     return kept.union(docs.where(F.col("doc_id").isNull()))
