@@ -10,8 +10,9 @@ are all past the radius.
 from __future__ import annotations
 
 from collections.abc import Iterator
+from dataclasses import dataclass
 from itertools import combinations
-from math import comb
+from math import acos, comb, pi
 
 import numpy as np
 import pyarrow as pa
@@ -21,46 +22,99 @@ from pyspark.sql import functions as F
 from framewright.llm.common import cut_lineage, read_table
 from framewright.llm.components import components
 
-RADIUS = 4
-SHINGLE = 4
 SEED = 42
 #: Rows that are compared with each other in one task; larger groups are split into pairs of parts.
 GROUP_ROWS = 4096
 #: Rows that a task lays out as bit planes at once.
-CHUNK_ROWS = 16_384
+CHUNK_ROWS = 65_536
+MAX_RADIUS = 15
 
 
-def fingerprint(text: str | None, shingle: int = SHINGLE, seed: int = SEED) -> int:
-    """The 64-bit SimHash of a text; 0 if it has no words."""
+@dataclass(frozen=True)
+class Rule:
+    """What is a near copy: fingerprints of ``words`` 64-bit words over ``shingle`` words of text.
+
+    Two are linked if they differ in at most ``radius`` bits in one of their words, and in
+    at most ``total`` bits in all of them.
+    """
+
+    shingle: int = 4
+    words: int = 1
+    radius: int = 4
+    total: int = 4
+
+
+def total_for(similarity: float, words: int) -> int:
+    """Bits in which texts may differ whose shingle sets, of one size, have this Jaccard similarity.
+
+    A bit differs with the probability angle / pi; the cosine of the angle is 2J / (1 + J).
+    """
+    return int(64 * words * acos(2 * similarity / (1 + similarity)) / pi)
+
+
+#: Links at 4 bits of one word of 64.
+EXACT_CONTRACT = Rule()
+#: Five words, a similarity of 0.8 or more by four words of 64 bits.
+SIMILAR = Rule(shingle=5, words=4, radius=8, total=total_for(0.8, 4))
+
+
+def shingle_hashes(text: str | None, shingle: int, seed: int = SEED) -> np.ndarray:
+    """XXH64 of each run of ``shingle`` words in lower case (A-Z only), of all words if there are fewer."""
     import xxhash
 
     words = (text or "").encode("utf-8", "surrogatepass").lower().split()  # of bytes: A-Z and ASCII white space only
     if not words:
-        return 0
+        return np.zeros(0, np.uint64)
     joined = b" ".join(words)
     if len(words) <= shingle:
-        return xxhash.xxh64_intdigest(joined, seed)
+        return np.array([xxhash.xxh64_intdigest(joined, seed)], np.uint64)
     ends = np.cumsum(np.fromiter(map(len, words), np.int64, len(words)) + 1) - 1
     starts = np.concatenate(([0], ends[:-1] + 1))[: len(words) - shingle + 1].tolist()
     digest = xxhash.xxh64_intdigest
-    hashes = np.array([digest(joined[s:e], seed) for s, e in zip(starts, ends[shingle - 1 :].tolist(), strict=True)], np.uint64)
-    counts = np.zeros(64, np.int64)
-    for at in range(0, len(hashes), 1 << 16):
-        part = hashes[at : at + (1 << 16)]
-        counts += np.add.reduce(np.unpackbits(part.view(np.uint8), bitorder="little").reshape(-1, 64), axis=0, dtype=np.int64)
-    return int(np.packbits(counts * 2 > len(hashes), bitorder="little").view(np.uint64)[0])
+    return np.array([digest(joined[s:e], seed) for s, e in zip(starts, ends[shingle - 1 :].tolist(), strict=True)], np.uint64)
+
+
+def _mixed(hashes: np.ndarray, k: int) -> np.ndarray:
+    """The hashes' k-th word: themselves, then numbers that look independent of them."""
+    if k == 0:
+        return hashes
+    x = hashes + np.uint64(k * 0x9E3779B97F4A7C15 & (1 << 64) - 1)
+    x = (x ^ (x >> np.uint64(32))) * np.uint64(0xD6E8FEB86659FD93)
+    x = (x ^ (x >> np.uint64(32))) * np.uint64(0xD6E8FEB86659FD93)
+    return x ^ (x >> np.uint64(32))
+
+
+def fingerprint(text: str | None, shingle: int = EXACT_CONTRACT.shingle, words: int = 1) -> list[int]:
+    """The SimHash of a text, ``words`` words of 64 bits; 0 if it has no words.
 
+    A bit is set if it is set in more than half of the hashes, repeated ones counted each time.
+    """
+    hashes = shingle_hashes(text, shingle)
+    out = []
+    for k in range(words):
+        counts = np.zeros(64, np.int64)
+        for at in range(0, len(hashes), 1 << 16):
+            part = _mixed(hashes[at : at + (1 << 16)], k)
+            counts += np.add.reduce(np.unpackbits(part.view(np.uint8), bitorder="little").reshape(-1, 64), axis=0, dtype=np.int64)
+        out.append(int(np.packbits(counts * 2 > len(hashes), bitorder="little").view(np.uint64)[0]))
+    return out
+
+
+def _names(words: int) -> list[str]:
+    return [f"print{k}" for k in range(words)]
 
-def _fingerprints(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    for batch in batches:
-        prints = np.array([fingerprint(x.as_py()) for x in batch.column(1)], np.uint64).view(np.int64)
-        yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(prints)], ["doc_id", "print"])
 
+def fingerprints(docs: DataFrame, rule: Rule = EXACT_CONTRACT) -> DataFrame:
+    """(doc_id, text) to (doc_id, print0, ...): the fingerprint's words as signed 64-bit numbers."""
+    names = _names(rule.words)
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            prints = np.array([fingerprint(x.as_py(), rule.shingle, rule.words) for x in batch.column(1)], np.uint64).reshape(-1, rule.words).view(np.int64)
+            yield pa.RecordBatch.from_arrays([batch.column(0), *[pa.array(np.ascontiguousarray(prints[:, k])) for k in range(rule.words)]], ["doc_id", *names])
 
-def fingerprints(docs: DataFrame) -> DataFrame:
-    """(doc_id, text) to (doc_id, print): the fingerprint as a signed 64-bit number."""
     docs = docs.select(F.col("doc_id").cast("long"), F.col("text").cast("string"))
-    return docs.mapInArrow(_fingerprints, "doc_id long, print long")
+    return docs.mapInArrow(run, ", ".join(["doc_id long", *[f"{n} long" for n in names]]))
 
 
 def planes(prints: np.ndarray) -> np.ndarray:
@@ -79,17 +133,17 @@ def _carry_save(a: np.ndarray, b: np.ndarray, c: np.ndarray) -> tuple[np.ndarray
 
 
 def near_lanes(left: np.ndarray, right: np.ndarray, valid: np.ndarray, radius: int) -> tuple[np.ndarray, np.ndarray]:
-    """Of two blocks of planes: the words that have lanes at a distance of radius (0 to 7) or less, and those lanes.
+    """Of two blocks of planes: the words that have lanes at a distance of radius (0 to 15) or less, and those lanes.
 
     Eight planes at a time go through a tree of carry-save adders into vertical
-    counters of ones, twos and fours, with a sticky lane for eight or more. A word
-    is abandoned once every lane of it is past the radius.
+    counters of ones, twos, fours and eights, with a sticky lane for sixteen or more.
+    A word is abandoned once every lane of it is past the radius.
     """
     at = np.nonzero(valid)[0]
     live = valid[at]
     left, right = left[:, at], right[:, at]
     ones = np.zeros(len(at), np.uint64)
-    twos, fours, more = ones.copy(), ones.copy(), ones.copy()
+    twos, fours, eights, more = ones.copy(), ones.copy(), ones.copy(), ones.copy()
     for plane in range(0, 64, 8):
         x = left[plane : plane + 8] ^ right[plane : plane + 8]
         two_a, ones = _carry_save(ones, x[0], x[1])
@@ -98,10 +152,13 @@ def near_lanes(left: np.ndarray, right: np.ndarray, valid: np.ndarray, radius: i
         two_a, ones = _carry_save(ones, x[4], x[5])
         two_b, ones = _carry_save(ones, x[6], x[7])
         four_b, twos = _carry_save(twos, two_a, two_b)
-        eights, fours = _carry_save(fours, four_a, four_b)
-        more |= eights
+        carry, fours = _carry_save(fours, four_a, four_b)
+        more |= eights & carry
+        eights ^= carry
+        if plane + 8 <= radius:
+            continue
         past, equal = more.copy(), ~more
-        for counter, bit in ((fours, radius & 4), (twos, radius & 2), (ones, radius & 1)):
+        for counter, bit in ((eights, radius & 8), (fours, radius & 4), (twos, radius & 2), (ones, radius & 1)):
             if bit:
                 equal &= counter
             else:
@@ -112,18 +169,20 @@ def near_lanes(left: np.ndarray, right: np.ndarray, valid: np.ndarray, radius: i
         if len(stay) == 0:
             return at[:0], live[:0]
         if len(stay) * 2 <= len(at) or plane == 56:
-            at, live, ones, twos, fours, more = (v[stay] for v in (at, live, ones, twos, fours, more))
+            at, live, ones, twos, fours, eights, more = (v[stay] for v in (at, live, ones, twos, fours, eights, more))
             left, right = left[:, stay], right[:, stay]
     return at, live
 
 
-def link_groups(group: np.ndarray, prints: np.ndarray, radius: int = RADIUS) -> tuple[np.ndarray, np.ndarray]:
-    """Links that connect, within each group of equal ``group``, what chains of distance up to radius connect.
+def link_groups(group: np.ndarray, prints: np.ndarray, radius: int, wide: np.ndarray | None = None, total: int = 0) -> tuple[np.ndarray, np.ndarray]:
+    """Links that connect, within each group of equal ``group``, what chains of links connect.
 
     Rows must be sorted by group. Every row is compared with the row k places
     further on, for all rows at once and k = 1, 2, ... up to the largest group;
-    pairs that earlier links connect already are left out. Returns indices of
-    linked rows, a spanning forest: fewer links than rows.
+    pairs that earlier links connect already are left out. Of the pairs within
+    the radius in ``prints`` those count that differ in at most ``total`` bits in all
+    of ``wide`` (rows x words), where it is given. Returns indices of linked rows, a spanning
+    forest: fewer links than rows.
     """
     n = len(prints)
     root = np.arange(n)
@@ -132,24 +191,28 @@ def link_groups(group: np.ndarray, prints: np.ndarray, radius: int = RADIUS) ->
     starts = np.nonzero(np.concatenate(([True], group[1:] != group[:-1])))[0]
     block = planes(prints)
     words = block.shape[1]
-    wide = np.concatenate([block, np.zeros((64, 1), np.uint64)], axis=1)
+    padded = np.concatenate([block, np.zeros((64, 1), np.uint64)], axis=1)
     for k in range(1, int(np.diff(np.concatenate((starts, [n]))).max())):
         same = np.zeros(words * 64, np.uint8)
         same[: n - k] = (group[k:] == group[:-k]) & (root[k:] != root[:-k])
         valid = np.packbits(same, bitorder="little").view(np.uint64)
-        if not valid.any():
+        some = np.nonzero(valid)[0]
+        if not len(some):
             continue
         skip, shift = divmod(k, 64)
-        later = np.zeros((64, words), np.uint64)
-        later[:, : words - skip] = wide[:, skip:words] >> np.uint64(shift)
+        later = padded[:, some + skip] >> np.uint64(shift)
         if shift:
-            later[:, : words - skip] |= wide[:, skip + 1 : words + 1] << np.uint64(64 - shift)
-        at, live = near_lanes(block, later, valid, radius)
+            later |= padded[:, np.minimum(some + skip + 1, words)] << np.uint64(64 - shift)
+        at, live = near_lanes(block[:, some], later, valid[some], radius)
         if len(at) == 0:
             continue
         lanes = np.unpackbits(live.view(np.uint8).reshape(-1, 8), axis=1, bitorder="little")
         word, lane = np.nonzero(lanes)
-        a = at[word] * 64 + lane
+        a = some[at[word]] * 64 + lane
+        if wide is not None:
+            a = a[np.bitwise_count(wide[a] ^ wide[a + k]).sum(axis=1, dtype=np.int64) <= total]
+            if len(a) == 0:
+                continue
         for x, y in np.unique(np.stack([root[a], root[a + k]], axis=1), axis=0).tolist():
             while root[x] != x:
                 x = root[x]
@@ -162,45 +225,51 @@ def link_groups(group: np.ndarray, prints: np.ndarray, radius: int = RADIUS) ->
     return linked, root[linked]
 
 
-def _links(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """Sorted rows (grp_table, grp_key, grp_pair, print) to links (a, b). Holds a chunk and one group at most."""
-    held: list[np.ndarray] = []
-    rows = 0
+def _linker(rule: Rule, tables: int):
+    """Sorted rows (grp_table, grp_key, grp_pair, node, print0, ...) to links (a, b) of nodes. Holds a chunk and one group at most."""
 
     def done(block: np.ndarray) -> pa.RecordBatch:
         edge = np.concatenate(([0], np.cumsum((block[1:, :3] != block[:-1, :3]).any(axis=1))))
-        prints = np.ascontiguousarray(block[:, 3])
-        a, b = link_groups(edge, prints.view(np.uint64))
-        return pa.RecordBatch.from_arrays([pa.array(prints[a]), pa.array(prints[b])], ["a", "b"])
-
-    for batch in batches:
-        held.append(np.stack([c.to_numpy(zero_copy_only=False).astype(np.int64) for c in batch.columns], axis=1))
-        rows += len(held[-1])
-        while rows >= CHUNK_ROWS:
-            block = np.concatenate(held)
-            new = np.nonzero((block[1:, :3] != block[:-1, :3]).any(axis=1))[0] + 1
-            cut = new[new <= CHUNK_ROWS]
-            cut = int(cut[-1]) if len(cut) else (int(new[0]) if len(new) else 0)
-            if not cut:
-                held = [block]
-                break
-            yield done(block[:cut])
-            held, rows = [block[cut:]], rows - cut
-    if rows:
-        yield done(np.concatenate(held))
-
-
-def masks(n: int, radius: int = RADIUS) -> list[int]:
+        nodes, prints = block[:, 3], np.ascontiguousarray(block[:, 4:]).view(np.uint64)
+        own = prints[np.arange(len(prints)), block[:, 0] // tables]  # a table belongs to one of the words
+        a, b = link_groups(edge, own, rule.radius, prints if rule.words > 1 else None, rule.total)
+        return pa.RecordBatch.from_arrays([pa.array(nodes[a]), pa.array(nodes[b])], ["a", "b"])
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        held: list[np.ndarray] = []
+        rows = 0
+        for batch in batches:
+            held.append(np.stack([c.to_numpy(zero_copy_only=False).astype(np.int64) for c in batch.columns], axis=1))
+            rows += len(held[-1])
+            while rows >= CHUNK_ROWS:
+                block = np.concatenate(held)
+                new = np.nonzero((block[1:, :3] != block[:-1, :3]).any(axis=1))[0] + 1
+                cut = new[new <= CHUNK_ROWS]
+                cut = int(cut[-1]) if len(cut) else (int(new[0]) if len(new) else 0)
+                if not cut:
+                    held = [block]
+                    break
+                yield done(block[:cut])
+                held, rows = [block[cut:]], rows - cut
+        if rows:
+            yield done(np.concatenate(held))
+
+    return run
+
+
+def masks(n: int, radius: int = EXACT_CONTRACT.radius) -> list[int]:
     """Bit masks of which any two fingerprints within the radius agree on one.
 
     64 bits in m blocks: ``radius`` differing bits leave m - radius blocks untouched.
     More blocks make longer keys and smaller groups, but more copies of each row; m
-    is the cheapest for n fingerprints at about 2 microseconds a copy and 2
+    is the cheapest for n fingerprints at about 2 microseconds a copy and 4
     nanoseconds a comparison.
     """
+    if not 0 <= radius <= MAX_RADIUS:
+        raise ValueError(f"radius {radius}")
 
     def cost(m: int) -> float:
-        return comb(m, radius) * (n * 2e-6 + n * n / 2 / 2 ** (64 * (m - radius) / m) * 2e-9)
+        return comb(m, radius) * (n * 2e-6 + n * n / 2 / 2 ** (64 * (m - radius) / m) * 4e-9)
 
     m = min(range(radius + 1, radius + 9), key=cost)
     edges = [64 * i // m for i in range(m + 1)]
@@ -212,50 +281,56 @@ def _signed(x: int) -> Column:
     return F.lit(x - (1 << 64) if x >> 63 else x).cast("long")
 
 
-def links(prints: DataFrame, n: int, radius: int = RADIUS, group_rows: int = GROUP_ROWS) -> DataFrame:
-    """Distinct fingerprints (print) to links (a, b) that connect all that are within the radius, by chains.
+def links(prints: DataFrame, n: int, rule: Rule = EXACT_CONTRACT, group_rows: int = GROUP_ROWS) -> DataFrame:
+    """n distinct fingerprints (node, print0, ...) to links (a, b) of nodes that connect all that the rule links, by chains.
 
-    Exact: no candidate is left out. Each fingerprint goes to one group for each mask;
-    a group of more than ``group_rows`` is split into parts, and each pair of parts is
-    a group of its own, so that no task compares more than twice that many.
+    Exact: no candidate is left out. Each fingerprint goes to one group for each mask
+    and word; a group of more than ``group_rows`` is split into parts, and each pair of
+    parts is a group of its own, so that no task compares more than twice that many.
     """
-    keyed = prints.select("print", F.posexplode(F.array(*[F.col("print").bitwiseAND(_signed(m)) for m in masks(n, radius)])).alias("grp_table", "grp_key"))
-    large = keyed.groupBy("grp_table", "grp_key").count().where(F.col("count") > group_rows)
+    names, own = _names(rule.words), masks(n, rule.radius)
+    keys = F.array(*[F.col(name).bitwiseAND(_signed(m)) for name in names for m in own])
+    keyed = prints.select("node", *names, F.posexplode(keys).alias("grp_table", "grp_key"))
+    large = prints.select(F.posexplode(keys).alias("grp_table", "grp_key")).groupBy("grp_table", "grp_key").count().where(F.col("count") > group_rows)
     large = cut_lineage(large.select("grp_table", "grp_key", F.ceil(F.col("count") / group_rows * 1.25).cast("int").alias("parts")))
     if not large.isEmpty():
-        part = F.pmod(F.xxhash64("print"), F.col("parts")).cast("int")
+        part = F.pmod(F.xxhash64("node"), F.col("parts")).cast("int")
         keyed = keyed.join(large, ["grp_table", "grp_key"], "left").withColumn("part", F.coalesce(part, F.lit(0))).withColumn("parts", F.coalesce("parts", F.lit(1)))
         pairs = F.transform(F.sequence(F.lit(0), F.col("parts") - 1), lambda other: F.least("part", other) * F.col("parts") + F.greatest("part", other))
-        keyed = keyed.select("print", "grp_table", "grp_key", F.explode(pairs).alias("grp_pair"))
+        keyed = keyed.select("node", *names, "grp_table", "grp_key", F.explode(pairs).alias("grp_pair"))
     else:
         keyed = keyed.withColumn("grp_pair", F.lit(0))
     order = ["grp_table", "grp_key", "grp_pair"]
-    dealt = keyed.select(*order, "print").repartition(*order).sortWithinPartitions(*order)
-    return dealt.mapInArrow(_links, "a long, b long")
+    dealt = keyed.select(*order, "node", *names).repartition(*order).sortWithinPartitions(*order)
+    return dealt.mapInArrow(_linker(rule, len(own)), "a long, b long")
 
 
-def classes(docs: DataFrame, radius: int = RADIUS) -> DataFrame:
-    """docs (doc_id, text, ...) to (doc_id, print, component_id), one row for each row of docs.
+def classes(docs: DataFrame, rule: Rule = EXACT_CONTRACT) -> DataFrame:
+    """docs (doc_id, text, ...) to (doc_id, print0, ..., component_id), one row for each row of docs.
 
     component_id is the least doc_id of the component, itself included; a component
     without any doc_id has null. Copies share a fingerprint and are compared once.
-    Null and blank texts have fingerprint 0 and are linked like any other.
+    Null and blank texts have fingerprint 0 and are linked like any other. A
+    fingerprint of several words goes by a 64-bit hash of them.
     """
-    prints = cut_lineage(fingerprints(docs))
-    distinct = cut_lineage(prints.groupBy("print").agg(F.min("doc_id").alias("least_id")))
-    found = components(links(distinct.select("print"), distinct.count(), radius))
-    rooted = distinct.join(found, distinct["print"] == found["node"], "left").select("print", "least_id", F.coalesce("root", "print").alias("root"))
+    names = _names(rule.words)
+    prints = cut_lineage(fingerprints(docs, rule))
+    node = F.col(names[0]) if rule.words == 1 else F.xxhash64(*names)
+    distinct = prints.groupBy(*names).agg(F.min("doc_id").alias("least_id")).withColumn("node", node)
+    distinct = cut_lineage(distinct)
+    found = components(links(distinct.select("node", *names), distinct.count(), rule)).withColumnRenamed("node", "_node")
+    rooted = distinct.join(found, distinct["node"] == found["_node"], "left").select(*names, "least_id", F.coalesce("root", "node").alias("root"))
     ids = rooted.groupBy("root").agg(F.min("least_id").alias("component_id"))
-    by_print = cut_lineage(rooted.join(ids, "root").select("print", "component_id"))
-    return prints.join(by_print, "print").select("doc_id", "print", "component_id")
+    by_print = cut_lineage(rooted.join(ids, "root").select(*names, "component_id"))
+    return prints.join(by_print, names).select("doc_id", *names, "component_id")
 
 
-def near_dedup(docs: DataFrame) -> DataFrame:
+def near_dedup(docs: DataFrame, rule: Rule = SIMILAR) -> DataFrame:
     """The rows of docs of which none with a smaller id is in the same component; a repeated row stays once.
 
     Rows without an id cannot be a component's first document and all stay.
     """
-    found = cut_lineage(classes(docs).where(F.col("doc_id") == F.col("component_id")).groupBy("doc_id").count())
+    found = cut_lineage(classes(docs, rule).where(F.col("doc_id") == F.col("component_id")).groupBy("doc_id").count())
     kept = docs.where(F.col("doc_id").isNotNull())
     kept = kept.join(found.select("doc_id"), "doc_id", "left_semi").select(*docs.columns)
     if not found.where(F.col("count") > 1).isEmpty():
@@ -266,7 +341,7 @@ def near_dedup(docs: DataFrame) -> DataFrame:
 def op4_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Fingerprint and component of every document. Extra columns are not read."""
     out = classes(read_table(spark, sf_dir, "documents"))
-    return out.select("doc_id", F.lpad(F.lower(F.hex("print")), 16, "0").alias("fingerprint"), "component_id")
+    return out.select("doc_id", F.lpad(F.lower(F.hex("print0")), 16, "0").alias("fingerprint"), "component_id")
 
 
 QUERIES = {"op4_simhash": op4_simhash}

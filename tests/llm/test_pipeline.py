@@ -5,7 +5,7 @@ from __future__ import annotations
 import corpus_pipeline
 import pytest
 from framewright.llm import decontamination, langid, simhash
-from tests.llm.test_simhash import _fingerprint, _roots
+from tests.llm.test_simhash import _roots, _similar
 
 SF_DIR = "/root/testdata/sf0.001"
 
@@ -40,8 +40,8 @@ def test_language_id_keeps_what_it_can_name(spark, stages):
 
 def test_dedup_and_decontamination(spark, stages):
     rows = sorted(stages[1].collect())
-    prints = [_fingerprint(r["text"]) for r in rows]
-    roots = _roots(len(rows), [(i, j) for i in range(len(rows)) for j in range(i) if bin(prints[i] ^ prints[j]).count("1") <= simhash.RADIUS])
+    prints = [simhash.fingerprint(r["text"], simhash.SIMILAR.shingle, simhash.SIMILAR.words) for r in rows]
+    roots = _roots(len(rows), [(i, j) for i in range(len(rows)) for j in range(i) if _similar(prints[i], prints[j])])
     kept = [r for i, r in enumerate(rows) if roots[i] == i]
     assert sorted(r["doc_id"] for r in stages[2].collect()) == [r["doc_id"] for r in kept]
     items = [(r["item_id"], r["text"]) for r in spark.read.parquet(f"{SF_DIR}/benchmark.parquet").collect()]
