@@ -20,7 +20,7 @@ def language_id(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def simhash_near_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Keeps the document with the smallest id of each group of near copies."""
+    """Keeps the document with the smallest id of each group of near copies: five-word shingles, similarity 0.8 or more."""
     return simhash.near_dedup(docs)
 
 
