@@ -34,8 +34,8 @@ UNKNOWN = "und"
 STRETCH = 64
 CACHE_RUNS = 500_000
 BLOCK_CHARS = 2_000_000
-#: Documents whose best language has a lower mean probability are rejected by ``keep_identified``.
-MIN_SCORE = 0.3
+#: ``keep_identified`` rejects documents whose best language is less than so many times as probable as by chance.
+MIN_LIFT = 1.02
 
 
 @dataclass(frozen=True)
@@ -200,8 +200,13 @@ def identify(docs: DataFrame, model: Model) -> DataFrame:
     return docs.select(F.col("doc_id").cast("long"), F.col("text").cast("string")).mapInArrow(run, "doc_id long, lang_pred string, score double")
 
 
-def keep_identified(docs: DataFrame, model: Model, min_score: float = MIN_SCORE) -> DataFrame:
-    """The rows of docs, all columns, whose text has a language with at least min_score."""
+def least_score(model: Model, min_lift: float = MIN_LIFT) -> float:
+    return min(1.0, min_lift / max(1, len(model.languages)))
+
+
+def keep_identified(docs: DataFrame, model: Model, min_lift: float = MIN_LIFT) -> DataFrame:
+    """The rows of docs, all columns, whose text has a language, and one that stands out from the others."""
+    min_score = least_score(model, min_lift)
     label = _labeller(model, docs)
     at = docs.columns.index("text")
 
