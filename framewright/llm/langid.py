@@ -11,6 +11,7 @@ documents for each language, chosen by a hash of their id.
 
 from __future__ import annotations
 
+import re
 from collections import Counter
 from collections.abc import Iterator
 from dataclasses import dataclass
@@ -151,6 +152,27 @@ class Identifier:
         return languages, scores
 
 
+    def spans(self, text: str) -> list[tuple[int, int, str]]:
+        """(start, end, language) of stretches of equal labels, by bytes of the lower-cased text; white space has none."""
+        out: list[tuple[int, int, str]] = []
+        if not self.model.languages:
+            return out
+        lowered = text.lower()
+        for match in re.finditer(r"\S+", lowered):
+            start, data = len(lowered[: match.start()].encode("utf-8", "surrogatepass")), _framed(match.group())
+            labels: list[int] = []
+            for at in range(0, len(data), STRETCH):
+                x = np.frombuffer(data[at : at + STRETCH], np.uint8)[None, :]
+                labels += bigru.probabilities(self.model.weights, x)[:, 0].argmax(axis=1).tolist()
+            for i, label in enumerate(labels[1:-1]):
+                language = self.model.languages[label]
+                if out and i and out[-1][2] == language:
+                    out[-1] = (out[-1][0], start + i + 1, language)
+                else:
+                    out.append((start + i, start + i + 1, language))
+        return out
+
+
 _IDENTIFIERS: dict[int, Identifier] = {}
 
 

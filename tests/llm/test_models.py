@@ -84,6 +84,13 @@ def test_a_document_is_the_mean_of_its_positions(model):
     assert lang == [model.languages[int(total.argmax())]] and score[0] == pytest.approx(float(total.max() / n), abs=1e-5)
 
 
+def test_spans_cover_every_byte_of_the_runs(model):
+    text = "Le garçon, und  DIE straße\n" + "x" * 150
+    covered = [i for a, b, _ in langid.Identifier(model).spans(text) for i in range(a, b)]
+    data = text.lower().encode()
+    assert covered == [i for i, c in enumerate(data) if c not in b" \n"]
+
+
 def test_undetermined(spark, model):
     rows = [(1, None), (2, ""), (3, "12 #!"), (4, "é")]
     got = {r["doc_id"]: (r["lang_pred"], r["score"]) for r in langid.identify(spark.createDataFrame(rows, "doc_id long, text string"), model).collect()}
