@@ -32,15 +32,22 @@ FOOTER = struct.Struct("<8sBQQQQQ")
 END_ID = 2
 #: Characters of text that are encoded together.
 BLOCK_CHARS = 2_000_000
-#: Distinct pieces whose ids a worker keeps; past that it starts anew.
-CACHE_PIECES = 500_000
+#: Distinct pieces, and distinct words, whose ids a worker keeps; past that it starts anew.
+CACHE_PIECES = 400_000
+CACHE_WORDS = 800_000
 CACHED_CHARS = 64
 #: Ids that are read at once.
 READ_IDS = 4_000_000
 
-# White space after which a space does not begin a piece, white space on whose kind
-# regular expression engines differ, and the text of the vocabulary's added token.
-_WHOLE = re.compile(r"\s (?:\s|\Z)|[^\S \n\t\r]|[\x1c-\x1f\x85᠎]|<\|endoftext\|>")
+# White space on whose kind regular expression engines differ, or that is rare.
+_ODD = re.compile("[\x0b\x0c\x1c-\x1f\x85\xa0\u1680\u180e\u2000-\u200b\u2028\u2029\u202f\u205f\u3000]")
+# A space between other white space, or at the end after it.
+_RUN = re.compile(r"\s (?:\s|\Z)")
+_LETTERS = "A-Za-zÀ-ÖØ-öø-ÿ"
+_MARKS = r"!\"#$%&()*+,\-./:;<=>?@\[\\\]^_`{|}~"
+# Words, marks and single line ends, of which each is a token's text of its own whatever stands beside it.
+_PLAIN = re.compile(rf"[{_LETTERS}]+(?:(?<![{_MARKS}])[{_MARKS}]+|\n(?![\n]|\Z)|(?<![{_LETTERS}])[{_LETTERS}]+)*")
+_PARTS = re.compile(rf"[{_LETTERS}]+|[{_MARKS}]+|\n")
 
 
 class PieceEncoder:
@@ -48,45 +55,94 @@ class PieceEncoder:
 
     Such a tokenizer never joins what stands before a space that follows a
     character other than white space with what comes after it. Texts are
-    therefore cut before such spaces, and the ids of a piece, got from the tokenizer
+    therefore cut before such spaces, and a new piece of Latin letters, marks and
+    line ends into those; the ids of all these, got from the tokenizer
     itself, are kept. Texts in which a cut could fall elsewhere go to the
     tokenizer whole.
     """
 
-    def __init__(self, tokenizer_json: str, cache_pieces: int = CACHE_PIECES):
+    def __init__(self, tokenizer_json: str, cache_pieces: int = CACHE_PIECES, cache_words: int = CACHE_WORDS):
         from tokenizers import Tokenizer
 
         self.tokenizer = Tokenizer.from_str(tokenizer_json)
         self.type = np.dtype("<u2" if self.tokenizer.get_vocab_size() <= 1 << 16 else "<u4")
         self.batch = getattr(self.tokenizer, "encode_batch_fast", self.tokenizer.encode_batch)
+        vocabulary = self.tokenizer.get_vocab()
+        self.bytes_of = np.zeros(max(vocabulary.values(), default=0) + 1, np.int64)
+        for token, i in vocabulary.items():  # each character of a token stands for a byte
+            self.bytes_of[i] = len(token)
         self.pieces: dict[str, bytes] = {}
-        self.cache_pieces = cache_pieces
+        self.words: dict[str, bytes] = {}
+        self.cache_pieces, self.cache_words = cache_pieces, cache_words
 
     def _encoded(self, texts: list[str]) -> list[bytes]:
         return [np.array(e.ids, self.type).tobytes() for e in self.batch(texts, add_special_tokens=False)]
 
+    def _spaced(self, words: list[str]) -> list[bytes]:
+        """Ids of words of letters that each start with a space: encoded as one text, which is cut by the tokens' lengths."""
+        out: list[bytes] = []
+        for start in range(0, len(words), 5000):
+            part = words[start : start + 5000]
+            ids = np.array(self.batch(["".join(part)], add_special_tokens=False)[0].ids, self.type)
+            ends = np.searchsorted(np.cumsum(self.bytes_of[ids]), np.cumsum([len(w.encode()) for w in part])) + 1
+            width, data = ids.itemsize, ids.tobytes()
+            begin = 0
+            for end in ends.tolist():
+                out.append(data[begin * width : end * width])
+                begin = end
+        return out
+
+    def _learn(self, missing: list[str]) -> dict[str, bytes]:
+        """Keeps the ids of new pieces; returns those of pieces that are too long to keep."""
+        if len(self.words) > self.cache_words:
+            self.words.clear()
+        local, plain, other, parts = {}, [], [], []
+        for p in missing:
+            if len(p) <= CACHED_CHARS and _PLAIN.fullmatch(p):
+                own = _PARTS.findall(p)
+                own[0] = " " + own[0]
+                plain.append(p)
+                parts.append(own)
+            else:
+                other.append(p)
+        new = {w for own in parts for w in own if w not in self.words}
+        spaced = [w for w in new if w[0] == " "]
+        bare = [w for w in new if w[0] != " "]
+        self.words.update(zip(spaced, self._spaced(spaced), strict=True))
+        self.words.update(zip(bare, self._encoded(bare), strict=True))
+        for p, own in zip(plain, parts, strict=True):
+            self.pieces[p] = b"".join(map(self.words.__getitem__, own))
+        for p, ids in zip(other, self._encoded([" " + p for p in other]), strict=True):
+            (self.pieces if len(p) <= CACHED_CHARS else local)[p] = ids
+        return local
+
+    def _cut(self, text: str) -> list[str] | None:
+        """The text's pieces, the first as it stands and the others without their space; None if it must stay whole."""
+        risky = "  " in text or " \n" in text or " \t" in text or " \r" in text or text.endswith(" ")
+        if _ODD.search(text) or "<|endoftext|>" in text or (risky and _RUN.search(text)):
+            return None
+        return text.split(" ")
+
     def encode(self, texts: list[str]) -> list[bytes]:
         """The ids of each text, as bytes."""
-        cut = [None if _WHOLE.search(t) else t.split(" ") for t in texts]
         if len(self.pieces) > self.cache_pieces:
             self.pieces.clear()
-        known, local = self.pieces, {}
-        missing = {p for c in cut if c for p in c[1:] if p not in known}
-        for start in range(0, len(missing := list(missing)), 20_000):
-            part = missing[start : start + 20_000]
-            for p, ids in zip(part, self._encoded([" " + p for p in part]), strict=True):
-                (known if len(p) <= CACHED_CHARS else local)[p] = ids
-        heads = iter(self._encoded([t if c is None else c[0] for t, c in zip(texts, cut, strict=True)]))
-        out = []
-        for c in cut:
-            head = next(heads)
-            if c is None or len(c) == 1:
-                out.append(head)
-            elif local:
-                out.append(head + b"".join([known[p] if p in known else local[p] for p in c[1:]]))
+        known = self.pieces
+        heads, cuts, seen = [], [], set()
+        for text in texts:
+            cut = self._cut(text)
+            if cut is None:
+                heads.append(text)
+                cut = []
             else:
-                out.append(head + b"".join(map(known.__getitem__, c[1:])))
-        return out
+                heads.append(cut[0])
+                del cut[0]
+                seen.update(cut)
+            cuts.append(cut)
+        local = self._learn([p for p in seen if p not in known])
+        if local:
+            return [head + b"".join([known[p] if p in known else local[p] for p in cut]) for head, cut in zip(self._encoded(heads), cuts, strict=True)]
+        return [head + b"".join(map(known.__getitem__, cut)) for head, cut in zip(self._encoded(heads), cuts, strict=True)]
 
 
 _ENCODERS: dict[int, PieceEncoder] = {}
