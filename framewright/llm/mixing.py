@@ -23,6 +23,8 @@ FRAGMENT_WORDS = 50
 #: Rows that share one bucket of ranks, and so one task's sort, on average.
 BUCKET_ROWS = 50_000
 MIN_BUCKETS = 64
+#: Documents that go in or out one by one after the cut, to bring a source nearer its target.
+FIT_STEPS = 3
 #: Most sources of a plan that is sent to all executors: some MB at a few hundred bytes each.
 BROADCAST_SOURCES = 10_000
 #: A source's rows are dealt over so many tasks where they meet its targets.
@@ -85,18 +87,24 @@ def ranked(rows: DataFrame, plan: DataFrame, seed: str, plan_rows: int | None =
     return joined.withColumn("bucket", F.floor(F.col("rank") * F.col("buckets")))
 
 
+def _fitted() -> Column:
+    """Whether a ranked row is one of those that went in or out after the cut."""
+    return F.exists("fits", lambda f: f["doc_id"].eqNullSafe(F.col("doc_id")) & (f["rank"] == F.col("rank")) & (f["size"] == F.col("size")))
+
+
 def _drawn() -> Column:
-    """Whether a ranked row is before its source's cut."""
+    """Whether a ranked row is in the sample: before its source's cut, but for those that went in or out."""
     upto = F.struct("rank", "doc_id", "size") <= F.col("cut")
-    return F.coalesce((F.col("fraction") > 0) & ((F.col("bucket") < F.col("edge")) | ((F.col("bucket") == F.col("edge")) & upto)), F.lit(False))
+    before = F.coalesce((F.col("fraction") > 0) & ((F.col("bucket") < F.col("edge")) | ((F.col("bucket") == F.col("edge")) & upto)), F.lit(False))
+    return before != F.coalesce(_fitted(), F.lit(False))
 
 
 def plan_mix(rows: DataFrame, max_copies: int = MAX_COPIES, seed: str = SEED) -> tuple[DataFrame, int]:
     """rows (doc_id, source, size, exposure) to a row for each source: target, whole copies, and where its sample is cut; and their number.
 
-    The cut through the order is the one that comes nearest the target; then one
-    further document is added (or one taken left out) if its size brings the source
-    nearer still.
+    The cut through the order is the one that comes nearest the target; then up to
+    ``FIT_STEPS`` times the document goes in (or out, where too much is taken) whose size
+    brings the source nearest, if there is one that brings it nearer.
 
     A source may hold any share of the rows: it is never gathered. Ranks are cut into
     buckets, sums by bucket find the one through which the cut goes, and only that
@@ -127,20 +135,25 @@ def plan_mix(rows: DataFrame, max_copies: int = MAX_COPIES, seed: str = SEED) ->
     fits = (F.col("before") + F.col("size") <= F.col("left")) | ((F.col("before") < F.col("left")) & (F.col("before") + F.col("size") / 2 < F.col("left")))
     cut = in_edge.where(fits).groupBy("source").agg(F.max(F.struct("rank", "doc_id", "size")).alias("cut"), F.max(F.col("before") + F.col("size")).alias("end"))
     plan = by_source(plan, cut, "left")
-    plan = cut_lineage(plan.withColumn("short", F.col("left") - F.coalesce("end", "start", F.lit(0))))
+    no_fits = F.array().cast("array<struct<rank:double,doc_id:{},size:{}>>".format(rows.schema["doc_id"].dataType.simpleString(), rows.schema["size"].dataType.simpleString()))
+    plan = cut_lineage(plan.withColumn("short", F.col("left") - F.coalesce("end", "start", F.lit(0))).withColumn("fits", no_fits))
 
-    # One more document in, or one out, where that leaves less than is short now.
-    miss = F.abs(F.abs("short") - F.col("size"))
-    useful = (F.col("fraction") > 0) & (F.col("size") > 0) & (miss < F.abs("short")) & (_drawn() == (F.col("short") < 0))
-    fit = ranked(rows, plan, seed, n).where(useful).groupBy("source").agg(F.min(F.struct(miss.alias("miss"), F.col("rank"), F.col("doc_id"), F.col("size"))).alias("fit"))
-    return cut_lineage(by_source(plan, fit, "left")), n
+    for _ in range(FIT_STEPS):
+        miss = F.abs(F.abs("short") - F.col("size"))
+        useful = (F.col("fraction") > 0) & (F.col("size") > 0) & (miss < F.abs("short")) & (_drawn() == (F.col("short") < 0)) & ~F.coalesce(_fitted(), F.lit(False))
+        fit = ranked(rows, plan, seed, n).where(useful).groupBy("source").agg(F.min(F.struct(miss.alias("miss"), F.col("rank"), F.col("doc_id"), F.col("size"))).alias("fit"))
+        plan = by_source(plan, fit, "left")
+        found = F.col("fit").isNotNull()
+        fits = F.when(found, F.concat("fits", F.array(F.struct("fit.rank", "fit.doc_id", "fit.size")))).otherwise(F.col("fits"))
+        short = F.when(found, F.col("short") - F.when(F.col("short") > 0, F.col("fit.size")).otherwise(-F.col("fit.size"))).otherwise(F.col("short"))
+        plan = cut_lineage(plan.withColumns({"fits": fits, "short": short}).drop("fit"))
+    return plan, n
 
 
 def draw(rows: DataFrame, plan: DataFrame, plan_rows: int, max_copies: int = MAX_COPIES, seed: str = SEED) -> DataFrame:
     """rows (doc_id, source, size, exposure, ...) with source_size, target and ``copies``, of a plan that was made for them."""
     drawn = ranked(rows, plan, seed, plan_rows)
-    swapped = F.coalesce(F.col("doc_id").eqNullSafe(F.col("fit.doc_id")) & (F.col("rank") == F.col("fit.rank")) & (F.col("size") == F.col("fit.size")), F.lit(False))
-    copies = F.col("whole") + (_drawn() != swapped).cast("long")
+    copies = F.col("whole") + _drawn().cast("long")
     return drawn.withColumn("copies", F.least(copies, F.lit(max_copies).cast("long"))).select(*rows.columns, "source_size", "target", "copies")
 
 
@@ -187,6 +200,19 @@ def op10_pareto_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mix(rows).select("doc_id", "size", "source_size", "target", (F.col("size") * F.col("copies")).alias("taken"), "copies")
 
 
+def _fit_sql() -> str:
+    useful = "f > 0 AND size > 0 AND NOT used AND abs(abs(short) - size) < abs(short) AND hit = (short < 0)"
+    steps = ""
+    for i in range(FIT_STEPS):
+        steps += f""", f{i} AS (
+  SELECT *, coalesce({useful} AND row_number() OVER (PARTITION BY source, {useful} ORDER BY abs(abs(short) - size), rank, doc_id, size) = 1, false) AS moved FROM s{i}
+), s{i + 1} AS (
+  SELECT * EXCLUDE (hit, used, short, moved), hit <> moved AS hit, used OR moved AS used,
+         short - sum(CASE WHEN moved AND short > 0 THEN size WHEN moved THEN -size ELSE 0 END) OVER (PARTITION BY source) AS short FROM f{i}
+)"""
+    return steps
+
+
 ORACLE_SQL = f"""
 WITH base AS (
   SELECT doc_id, source, coalesce(len(regexp_extract_all(text, '[^\\x20\\x09-\\x0D]+')), 0)::BIGINT AS size FROM documents
@@ -221,13 +247,10 @@ WITH base AS (
   SELECT *, f > 0 AND (before + size <= l OR (before < l AND before + size / 2 < l)) AS hit FROM cum
 ), short AS (
   SELECT *, l - sum(CASE WHEN hit THEN size ELSE 0 END) OVER (PARTITION BY source) AS short FROM one
-), fit AS (
-  SELECT *, CASE WHEN f > 0 AND size > 0 AND abs(abs(short) - size) < abs(short) AND hit = (short < 0)
-                 THEN row_number() OVER (PARTITION BY source, f > 0 AND size > 0 AND abs(abs(short) - size) < abs(short) AND hit = (short < 0)
-                                         ORDER BY abs(abs(short) - size), rank, doc_id, size) END AS k
-  FROM short
-), c AS (
-  SELECT *, least(whole + (CASE WHEN hit <> (coalesce(k, 0) = 1) THEN 1 ELSE 0 END), {MAX_COPIES})::BIGINT AS copies FROM fit
+), s0 AS (
+  SELECT *, false AS used FROM short
+){_fit_sql()}, c AS (
+  SELECT *, least(whole + hit::INT, {MAX_COPIES})::BIGINT AS copies FROM s{FIT_STEPS}
 )
 SELECT doc_id, size, source_size, target, (size * copies)::BIGINT AS taken, copies FROM c
 """
