@@ -121,6 +121,23 @@ def item_blocks(benchmark: DataFrame, block_bytes: int = BLOCK_BYTES) -> Iterato
         yield sorted(((r["item_id"], r["text"]) for r in part.select("item_id", "text").collect()), key=lambda r: (r[0] is None, r[0] or 0, r[1] or ""))
 
 
+_ITEMS: dict[int, Items] = {}
+
+
+def _shipped_items(docs: DataFrame, rows: list[tuple[int | None, str | None]], min_match: int):
+    """A function that gives a worker the block's seeds, made once by each process."""
+    shipped = docs.sparkSession.sparkContext.broadcast(rows)
+    key = hash((tuple(rows), min_match))
+
+    def items() -> Items:
+        if key not in _ITEMS:
+            _ITEMS.clear()
+            _ITEMS[key] = Items(shipped.value, min_match)
+        return _ITEMS[key]
+
+    return items
+
+
 def contaminated_pairs(docs: DataFrame, benchmark: DataFrame, min_coverage: float = MIN_COVERAGE, min_match: int = MIN_MATCH) -> DataFrame:
     """(doc_id, text) and (item_id, text) to a row for each pair over the threshold: doc_id, item_id, n_tiles, covered, n_tokens, coverage.
 
@@ -131,10 +148,10 @@ def contaminated_pairs(docs: DataFrame, benchmark: DataFrame, min_coverage: floa
     schema = "doc_id long, item_id long, n_tiles long, covered long, n_tokens long, coverage double"
     found = None
     for rows in item_blocks(benchmark):
-        shipped = docs.sparkSession.sparkContext.broadcast(rows)
+        own = _shipped_items(docs, rows, min_match)
 
-        def run(batches: Iterator[pa.RecordBatch], shipped=shipped) -> Iterator[pa.RecordBatch]:
-            items = Items(shipped.value, min_match)
+        def run(batches: Iterator[pa.RecordBatch], own=own) -> Iterator[pa.RecordBatch]:
+            items = own()
             for batch in batches:
                 out = []
                 for doc, item, n, covered in items.hits(batch.column(1).to_pylist()):
@@ -153,10 +170,10 @@ def drop_contaminated(docs: DataFrame, benchmark: DataFrame, min_coverage: float
     """The rows of docs, all columns, that cover no item to min_coverage."""
     at = docs.columns.index("text")
     for rows in item_blocks(benchmark):
-        shipped = docs.sparkSession.sparkContext.broadcast(rows)
+        own = _shipped_items(docs, rows, min_match)
 
-        def run(batches: Iterator[pa.RecordBatch], shipped=shipped) -> Iterator[pa.RecordBatch]:
-            items = Items(shipped.value, min_match)
+        def run(batches: Iterator[pa.RecordBatch], own=own) -> Iterator[pa.RecordBatch]:
+            items = own()
             for batch in batches:
                 keep = np.ones(batch.num_rows, bool)
                 for doc, item, _, covered in items.hits(batch.column(at).to_pylist()):
