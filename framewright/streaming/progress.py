@@ -9,6 +9,8 @@ from pyspark.sql import DataFrame
 from pyspark.sql.streaming.query import StreamingQuery
 from pyspark.sql.streaming.state import GroupState, GroupStateTimeout
 
+from framewright.workers import find_package
+
 
 def _changes(key: tuple, batches: Iterator[pd.DataFrame], state: GroupState) -> Iterator[pd.DataFrame]:
     known = state.get[0] if state.exists else 0
@@ -27,6 +29,7 @@ def progress_changes(events: DataFrame) -> DataFrame:
     The state is one number for each run. Within a run events must arrive in the
     order of seq; each micro-batch is sorted.
     """
+    find_package(events.sparkSession)
     own = events.selectExpr("cast(run_id as string) run_id", "cast(seq as long) seq", "cast(percent as long) percent")
     return own.groupBy("run_id").applyInPandasWithState(_changes, "run_id string, seq long, percent long", "known long", "append", GroupStateTimeout.NoTimeout)
 
