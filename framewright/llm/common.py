@@ -7,6 +7,8 @@ import tempfile
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from framewright.workers import find_package
+
 #: Words are maximal runs of anything but the six ASCII white-space characters.
 SPACES = r"[\x20\x09-\x0D]+"
 WORD = r"[^\x20\x09-\x0D]+"
@@ -42,6 +44,12 @@ def cut_lineage(df: DataFrame) -> DataFrame:
     return df.checkpoint(eager=True)
 
 
+def map_arrow(df: DataFrame, function, schema) -> DataFrame:
+    """df.mapInArrow, by workers that can import this package."""
+    find_package(df.sparkSession)
+    return df.mapInArrow(function, schema)
+
+
 def long_array(values: list[int]) -> Column:
     return F.array(*[F.lit(int(v)).cast("long") for v in values])
 

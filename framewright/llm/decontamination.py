@@ -16,7 +16,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from framewright.llm.common import read_table
+from framewright.llm.common import map_arrow, read_table
 from framewright.llm.tiling import tiles
 
 MIN_MATCH = 5
@@ -161,7 +161,7 @@ def contaminated_pairs(docs: DataFrame, benchmark: DataFrame, min_coverage: floa
                 columns = list(zip(*out, strict=True)) or [()] * 6
                 yield pa.RecordBatch.from_arrays([pa.array(c, pa.int64()) for c in columns[:5]] + [pa.array(columns[5], pa.float64())], ["doc_id", "item_id", "n_tiles", "covered", "n_tokens", "coverage"])
 
-        pairs = docs.mapInArrow(run, schema)
+        pairs = map_arrow(docs, run, schema)
         found = pairs if found is None else found.union(pairs)
     return found
 
@@ -180,7 +180,7 @@ def drop_contaminated(docs: DataFrame, benchmark: DataFrame, min_coverage: float
                     keep[doc] &= covered < min_coverage * len(items.items[item][1])
                 yield batch.filter(pa.array(keep))
 
-        docs = docs.mapInArrow(run, docs.schema)
+        docs = map_arrow(docs, run, docs.schema)
     return docs
 
 

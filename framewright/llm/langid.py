@@ -23,7 +23,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
 from framewright.llm import bigru
-from framewright.llm.common import read_table, uniform
+from framewright.llm.common import map_arrow, read_table, uniform
 
 TRAIN_DOCS = 500
 #: Distinct runs that are trained on, the most frequent of each language.
@@ -72,7 +72,7 @@ def train(docs: DataFrame, train_docs: int = TRAIN_DOCS, train_runs: int = TRAIN
     for lang, n in sizes.items():
         share = F.when(F.col("lang") == lang, F.lit(min(1.0, train_docs / n))).otherwise(share)
     sample = labelled.where(uniform(F.lit("lang-1"), F.col("doc_id")) < share).select("lang", "text")
-    runs = sample.mapInArrow(_run_counts, "lang string, run string, n long").groupBy("lang", "run").agg(F.sum("n").alias("n"))
+    runs = map_arrow(sample, _run_counts, "lang string, run string, n long").groupBy("lang", "run").agg(F.sum("n").alias("n"))
     order = Window.partitionBy("lang").orderBy(F.col("n").desc(), "run")  # of the sample's runs
     found = runs.withColumn("k", F.row_number().over(order)).where(F.col("k") <= train_runs).collect()
     languages = sorted(sizes)
@@ -219,7 +219,7 @@ def identify(docs: DataFrame, model: Model) -> DataFrame:
             languages, scores = label(batch.column(1))
             yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(languages, pa.string()), pa.array(scores, pa.float64())], ["doc_id", "lang_pred", "score"])
 
-    return docs.select(F.col("doc_id").cast("long"), F.col("text").cast("string")).mapInArrow(run, "doc_id long, lang_pred string, score double")
+    return map_arrow(docs.select(F.col("doc_id").cast("long"), F.col("text").cast("string")), run, "doc_id long, lang_pred string, score double")
 
 
 def least_score(model: Model, min_lift: float = MIN_LIFT) -> float:
@@ -237,7 +237,7 @@ def keep_identified(docs: DataFrame, model: Model, min_lift: float = MIN_LIFT) -
             languages, scores = label(batch.column(at))
             yield batch.filter(pa.array([lang != UNKNOWN and s >= min_score for lang, s in zip(languages, scores, strict=True)], pa.bool_()))
 
-    return docs.mapInArrow(run, docs.schema)
+    return map_arrow(docs, run, docs.schema)
 
 
 def op2_byte_gru_language(spark: SparkSession, sf_dir: str) -> DataFrame:

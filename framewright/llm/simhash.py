@@ -19,7 +19,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from framewright.llm.common import cut_lineage, read_table
+from framewright.llm.common import cut_lineage, map_arrow, read_table
 from framewright.llm.components import components
 
 SEED = 42
@@ -114,7 +114,7 @@ def fingerprints(docs: DataFrame, rule: Rule = EXACT_CONTRACT) -> DataFrame:
             yield pa.RecordBatch.from_arrays([batch.column(0), *[pa.array(np.ascontiguousarray(prints[:, k])) for k in range(rule.words)]], ["doc_id", *names])
 
     docs = docs.select(F.col("doc_id").cast("long"), F.col("text").cast("string"))
-    return docs.mapInArrow(run, ", ".join(["doc_id long", *[f"{n} long" for n in names]]))
+    return map_arrow(docs, run, ", ".join(["doc_id long", *[f"{n} long" for n in names]]))
 
 
 def planes(prints: np.ndarray) -> np.ndarray:
@@ -302,7 +302,7 @@ def links(prints: DataFrame, n: int, rule: Rule = EXACT_CONTRACT, group_rows: in
         keyed = keyed.withColumn("grp_pair", F.lit(0))
     order = ["grp_table", "grp_key", "grp_pair"]
     dealt = keyed.select(*order, "node", *names).repartition(*order).sortWithinPartitions(*order)
-    return dealt.mapInArrow(_linker(rule, len(own)), "a long, b long")
+    return map_arrow(dealt, _linker(rule, len(own)), "a long, b long")
 
 
 def classes(docs: DataFrame, rule: Rule = EXACT_CONTRACT) -> DataFrame:

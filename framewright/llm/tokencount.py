@@ -17,7 +17,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from framewright.llm.common import read_table
+from framewright.llm.common import map_arrow, read_table
 
 UNKNOWN_PENALTY = 10.0
 #: Distinct words whose counts a worker keeps; past that it starts anew.
@@ -135,7 +135,7 @@ def token_counts(docs: DataFrame, vocabulary: list[tuple[str, float]]) -> DataFr
             counts = [counter.count(t.as_py()) for t in batch.column(1)]
             yield pa.RecordBatch.from_arrays([batch.column(0), pa.array([n for n, _ in counts], pa.int64()), pa.array([s for _, s in counts], pa.float64())], ["doc_id", "n_tokens", "score"])
 
-    return docs.select(F.col("doc_id").cast("long"), F.col("text").cast("string")).mapInArrow(run, "doc_id long, n_tokens long, score double")
+    return map_arrow(docs.select(F.col("doc_id").cast("long"), F.col("text").cast("string")), run, "doc_id long, n_tokens long, score double")
 
 
 def op3_unigram_counts(spark: SparkSession, sf_dir: str, vocabulary: str | None = None) -> DataFrame:

@@ -24,7 +24,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from framewright.llm.common import checkpoint_dir, read_table
+from framewright.llm.common import checkpoint_dir, map_arrow, read_table
 from framewright.llm.eliasfano import EliasFano
 
 MAGIC = b"FWIDS\x00\x00\x01"
@@ -274,7 +274,7 @@ def write_tokens(docs: DataFrame, tokenizer_json: str, folder: str, end_id: int
 
     ordered = docs.select(F.col("doc_id").cast("long"), F.col("text").cast("string")).repartitionByRange(F.col("doc_id").asc_nulls_first()).sortWithinPartitions(F.col("doc_id").asc_nulls_first(), "text")
     # A row for each file, as many as the exchange has partitions.
-    written = ordered.mapInArrow(write, "part int, file string, n long, n_ids long").collect()
+    written = map_arrow(ordered, write, "part int, file string, n long, n_ids long").collect()
     return [(r["file"], r["n"], r["n_ids"]) for r in sorted(written, key=lambda r: r["part"])]
 
 
@@ -295,7 +295,7 @@ def read_tokens(spark: SparkSession, folder: str, files: list[tuple[str, int, in
                 yield pa.RecordBatch.from_arrays([pa.array(v, pa.int64()) for v in out.values()], list(out))
 
     listed = spark.createDataFrame(rows, "file string, first long").repartition(max(1, len(rows)))
-    return listed.mapInArrow(read, "doc_id long, start long, n_tokens long, ids_crc32 long")
+    return map_arrow(listed, read, "doc_id long, start long, n_tokens long, ids_crc32 long")
 
 
 def op9_token_files(spark: SparkSession, sf_dir: str, tokenizer: str | None = None, folder: str | None = None) -> DataFrame:
