@@ -20,7 +20,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from framewright.llm.common import cut_lineage, map_arrow, read_table
-from framewright.llm.components import components
+from framewright.llm.components import SALTS, components
 
 SEED = 42
 #: Rows that are compared with each other in one task; larger groups are split into pairs of parts.
@@ -319,9 +319,11 @@ def classes(docs: DataFrame, rule: Rule = EXACT_CONTRACT) -> DataFrame:
     distinct = prints.groupBy(*names).agg(F.min("doc_id").alias("least_id")).withColumn("node", node)
     distinct = cut_lineage(distinct)
     found = components(links(distinct.select("node", *names), distinct.count(), rule)).withColumnRenamed("node", "_node")
-    rooted = distinct.join(found, distinct["node"] == found["_node"], "left").select(*names, "least_id", F.coalesce("root", "node").alias("root"))
-    ids = rooted.groupBy("root").agg(F.min("least_id").alias("component_id"))
-    by_print = cut_lineage(rooted.join(ids, "root").select(*names, "component_id"))
+    linked = distinct.join(found, distinct["node"] == found["_node"]).drop("_node").withColumn("salt", F.pmod("node", F.lit(SALTS)).cast("int"))
+    # A component may have most of the fingerprints: they meet its least id in SALTS tasks.
+    ids = linked.groupBy("root").agg(F.min("least_id").alias("component_id")).withColumn("salt", F.explode(F.sequence(F.lit(0), F.lit(SALTS - 1))))
+    alone = distinct.join(found, distinct["node"] == found["_node"], "left_anti").select(*names, F.col("least_id").alias("component_id"))
+    by_print = cut_lineage(linked.join(ids, ["root", "salt"]).select(*names, "component_id").union(alone))
     return prints.join(by_print, names).select("doc_id", *names, "component_id")
 
 
