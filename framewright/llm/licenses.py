@@ -80,17 +80,19 @@ def scan_units(units: DataFrame, keep: list[str], templates: list[tuple[str, str
     known = [(name, template_bigrams(text)) for name, text in (TEMPLATES if templates is None else templates)]
     low, high = min_dice / (2 - min_dice), (2 - min_dice) / min_dice
     smallest = min(len(b) for _, b in known) * low
-    words = units.select(*keep, normal_words(F.col("unit")).alias("_w"))
-    words = words.select(*keep, "_w", F.size("_w").alias("_n")).where(F.col("_n") - 1 >= smallest)
-    grams = words.select(*keep, _bigrams(F.col("_w"), F.col("_n")).alias("_g"))
-    grams = grams.select(*keep, "_g", F.size("_g").alias("_n")).where(F.col("_n") >= smallest)
+    # Each step's value comes out of a generator of one row: a filter on it is then not pushed
+    # below it, where it would compute the value a second time.
+    words = units.select(*keep, F.explode(F.array(normal_words(F.col("unit")))).alias("_w")).where(F.size("_w") - 1 >= smallest)
+    grams = words.select(*keep, F.explode(F.array(_bigrams(F.col("_w"), F.size("_w")))).alias("_g")).where(F.size("_g") >= smallest)
+    n = F.size("_g")
     scores = []
     for name, own in known:
-        fits = (F.lit(len(own)) >= F.col("_n") * low) & (F.lit(len(own)) <= F.col("_n") * high)
-        dice = F.size(F.array_intersect("_g", F.array(*[F.lit(g) for g in own]))) * 2.0 / (F.col("_n") + len(own))
+        fits = (F.lit(len(own)) >= n * low) & (F.lit(len(own)) <= n * high)
+        dice = F.size(F.array_intersect("_g", F.array(*[F.lit(g) for g in own]))) * 2.0 / (n + len(own))
         scores.append(F.when(fits, F.struct((-dice).alias("dice"), F.lit(name).alias("license"))))
-    best = grams.select(*keep, F.least(*scores).alias("_best") if len(scores) > 1 else scores[0].alias("_best")).where(F.col("_best.dice") <= -min_dice)
-    return best.select(*keep, F.col("_best.license").alias("license"), (-F.col("_best.dice")).alias("dice"))
+    best = F.least(*scores) if len(scores) > 1 else scores[0]
+    found = grams.select(*keep, F.explode(F.array(best)).alias("_best")).where(F.col("_best.dice") <= -min_dice)
+    return found.select(*keep, F.col("_best.license").alias("license"), (-F.col("_best.dice")).alias("dice"))
 
 
 def license_scan(docs: DataFrame, templates: list[tuple[str, str]] | None = None, min_dice: float = MIN_DICE) -> DataFrame:
@@ -99,7 +101,7 @@ def license_scan(docs: DataFrame, templates: list[tuple[str, str]] | None = None
     doc_id, line_no (from 1; 0 for the whole text), license, dice. Null and empty texts
     have no row; repeated rows each have theirs. No exchange.
     """
-    lines = docs.select("doc_id", F.posexplode(F.split("text", "\n")).alias("at", "unit")).select("doc_id", (F.col("at") + 1).cast("long").alias("line_no"), "unit")
+    lines = docs.select("doc_id", F.posexplode_outer(F.split("text", "\n")).alias("at", "unit")).where(F.col("unit").isNotNull()).select("doc_id", (F.col("at") + 1).cast("long").alias("line_no"), "unit")
     whole = docs.where(F.instr("text", "\n") > 0).select("doc_id", F.lit(0).cast("long").alias("line_no"), F.col("text").alias("unit"))
     return scan_units(lines.union(whole), ["doc_id", "line_no"], templates, min_dice)
 
