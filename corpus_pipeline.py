@@ -10,7 +10,7 @@ import uuid
 
 from pyspark.sql import DataFrame, SparkSession
 
-from framewright.llm import decontamination, langid, mixing, sharding, simhash
+from framewright.llm import decontamination, langid, mixing, sharding, similar
 from framewright.llm.common import checkpoint_dir, read_table
 
 
@@ -20,8 +20,8 @@ def language_id(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def simhash_near_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Keeps the document with the smallest id of each group of near copies: five-word shingles, similarity 0.8 or more."""
-    return simhash.near_dedup(docs)
+    """Keeps the document with the smallest id of each group of near copies: five-word shingles, Jaccard similarity 0.8 or more, verified."""
+    return similar.near_dedup(docs)
 
 
 def benchmark_decontamination(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
