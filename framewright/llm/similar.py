@@ -107,31 +107,43 @@ def similar_links(distinct: DataFrame, docs: DataFrame, similarity: float = SIMI
     return components(links.union(_verified(rest, docs, similarity)))
 
 
+def _rooted(docs: DataFrame, similarity: float) -> tuple[DataFrame, DataFrame]:
+    """A row (doc_id, node) for each of docs, and (node, root) for the nodes that are linked to another."""
+    found = cut_lineage(map_arrow(docs.select(F.col("doc_id").cast("long"), _text_key(F.col("text")).alias("node"), F.col("text").cast("string")), _keys, "doc_id long, node long, n int, keys array<long>"))
+    distinct = cut_lineage(found.groupBy("node").agg(F.first("n").alias("n"), F.first("keys").alias("keys")))
+    return found.select("doc_id", "node"), similar_links(distinct, docs, similarity)
+
+
 def classes(docs: DataFrame, similarity: float = SIMILARITY) -> DataFrame:
     """docs (doc_id, text, ...) to (doc_id, node, component_id), one row for each row of docs.
 
     node is a 64-bit hash of the text; component_id is the least doc_id of the component,
     null if none has one. Null and blank texts are copies of each other.
     """
-    found = cut_lineage(map_arrow(docs.select(F.col("doc_id").cast("long"), _text_key(F.col("text")).alias("node"), F.col("text").cast("string")), _keys, "doc_id long, node long, n int, keys array<long>"))
-    distinct = cut_lineage(found.groupBy("node").agg(F.min("doc_id").alias("least_id"), F.first("n").alias("n"), F.first("keys").alias("keys")))
-    roots = similar_links(distinct, docs, similarity)
-    linked = distinct.select("node", "least_id").join(roots, "node").withColumn("salt", F.pmod("node", F.lit(SALTS)).cast("int"))
+    found, roots = _rooted(docs, similarity)
+    distinct = cut_lineage(found.groupBy("node").agg(F.min("doc_id").alias("least_id")))
+    linked = distinct.join(roots, "node").withColumn("salt", F.pmod("node", F.lit(SALTS)).cast("int"))
     # A component may have most of the texts: they meet its least id in SALTS tasks.
     ids = linked.groupBy("root").agg(F.min("least_id").alias("component_id")).withColumn("salt", F.explode(F.sequence(F.lit(0), F.lit(SALTS - 1))))
     alone = distinct.join(roots, "node", "left_anti").select("node", F.col("least_id").alias("component_id"))
     by_node = cut_lineage(linked.join(ids, ["root", "salt"]).select("node", "component_id").union(alone))
-    return found.select("doc_id", "node").join(by_node, "node").select("doc_id", "node", "component_id")
+    return found.join(by_node, "node").select("doc_id", "node", "component_id")
 
 
 def near_dedup(docs: DataFrame, similarity: float = SIMILARITY) -> DataFrame:
-    """The rows of docs of which none with a smaller id is in the same component; a repeated row stays once.
+    """One row of docs for each component: the first by doc_id (those without one come last), then by the text's hash.
 
-    Rows without an id cannot be a component's first document and all stay.
+    What counts is the row, an id and a text: other rows of the same id go by their own components.
+    Rows that are equal in both stay once.
     """
-    found = cut_lineage(classes(docs, similarity).where(F.col("doc_id") == F.col("component_id")).groupBy("doc_id").count())
-    kept = docs.where(F.col("doc_id").isNotNull())
-    kept = kept.join(found.select("doc_id"), "doc_id", "left_semi").select(*docs.columns)
-    if not found.where(F.col("count") > 1).isEmpty():
-        kept = kept.dropDuplicates(["doc_id"])
-    return kept.union(docs.where(F.col("doc_id").isNull()))
+    rows, roots = _rooted(docs, similarity)
+    # A row's place in its component; minima are taken before the exchange.
+    order = F.struct(F.col("doc_id").isNull().alias("no_id"), "doc_id", "node")
+    firsts = rows.join(roots, "node", "left").groupBy(F.coalesce("root", "node").alias("root")).agg(F.min(order).alias("first"))
+    firsts = firsts.select(F.col("first.doc_id").alias("_first_id"), F.col("first.node").alias("_first_node"))
+    firsts = cut_lineage(rows.join(firsts, rows["doc_id"].eqNullSafe(F.col("_first_id")) & (rows["node"] == F.col("_first_node"))).groupBy("_first_id", "_first_node").count())
+    keyed = docs.withColumn("_own_node", _text_key(F.col("text")))
+    kept = keyed.join(firsts, F.col("doc_id").cast("long").eqNullSafe(F.col("_first_id")) & (F.col("_own_node") == F.col("_first_node")), "left_semi")
+    if not firsts.where(F.col("count") > 1).isEmpty():
+        kept = kept.dropDuplicates(["doc_id", "_own_node"])
+    return kept.select(*docs.columns)

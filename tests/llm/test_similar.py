@@ -75,3 +75,12 @@ def test_pipeline_stage_is_brute_force_on_the_table(spark):
     docs = spark.read.parquet(f"{SF_DIR}/documents.parquet")
     first = _brute([tuple(r) for r in docs.select("doc_id", "text").collect()])
     assert sorted(r["doc_id"] for r in corpus_pipeline.simhash_near_dedup(spark, docs, SF_DIR).collect()) == sorted(set(first.values()))
+
+
+def test_rows_decide_not_ids(spark):
+    """Copies without an id go, and an id that several texts share neither keeps nor drops another's text."""
+    a, b, c, d = (_copies(seed, [0.95]) for seed in range(4))
+    rows = [(None, a[0]), (3, a[1]), (None, b[0]), (None, b[1]), (5, c[0]), (5, d[0]), (1, d[1]), (2, a[0]), (2, a[0]), (2, None), (None, " ")]
+    got = similar.near_dedup(spark.createDataFrame([(*r, None) for r in rows], "doc_id long, text string, lang string")).collect()
+    assert [r["text"] for r in got if r["doc_id"] is None] in ([b[0]], [b[1]])
+    assert sorted([(r["doc_id"], r["text"]) for r in got if r["doc_id"] is not None], key=str) == sorted([(2, a[0]), (5, c[0]), (1, d[1]), (2, None)], key=str)
