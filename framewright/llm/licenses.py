@@ -2,12 +2,15 @@
 
 A line, and a text as a whole, is normalised to its words in lower case and compared
 with each template by the Dice coefficient 2|A & B| / (|A| + |B|) over their sets of word
-bigrams. A template can reach the threshold t only if its number of bigrams is between
+bigrams. So are runs of lines, for a licence may be wrapped and stand in a longer text. A template can reach the threshold t only if its number of bigrams is between
 |A| t / (2 - t) and |A| (2 - t) / t; the others are passed over by size alone.
 """
 
 from __future__ import annotations
 
+import re
+from math import ceil
+
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -52,6 +55,31 @@ TEMPLATES = [
     ("MPL-2.0", "This Source Code Form is subject to the terms of the Mozilla Public License, v. 2.0. If a copy of the MPL was not distributed with this file, You can obtain one at http://mozilla.org/MPL/2.0/."),
     ("Unlicense", "This is free and unencumbered software released into the public domain."),
 ]
+_AS_IS = 'THE SOFTWARE IS PROVIDED "AS IS"'
+_BSD_END = (
+    'THIS SOFTWARE IS PROVIDED BY THE COPYRIGHT HOLDERS AND CONTRIBUTORS "AS IS" AND ANY EXPRESS OR IMPLIED WARRANTIES, INCLUDING, BUT NOT LIMITED TO, THE IMPLIED WARRANTIES OF MERCHANTABILITY AND FITNESS FOR A PARTICULAR PURPOSE ARE DISCLAIMED. '
+    "IN NO EVENT SHALL THE COPYRIGHT HOLDER OR CONTRIBUTORS BE LIABLE FOR ANY DIRECT, INDIRECT, INCIDENTAL, SPECIAL, EXEMPLARY, OR CONSEQUENTIAL DAMAGES (INCLUDING, BUT NOT LIMITED TO, PROCUREMENT OF SUBSTITUTE GOODS OR SERVICES; LOSS OF USE, DATA, OR PROFITS; OR BUSINESS INTERRUPTION) "
+    "HOWEVER CAUSED AND ON ANY THEORY OF LIABILITY, WHETHER IN CONTRACT, STRICT LIABILITY, OR TORT (INCLUDING NEGLIGENCE OR OTHERWISE) ARISING IN ANY WAY OUT OF THE USE OF THIS SOFTWARE, EVEN IF ADVISED OF THE POSSIBILITY OF SUCH DAMAGE."
+)
+_OPENING = {name: text for name, text in TEMPLATES if name in ("BSD-2-Clause", "ISC", "MIT")}
+#: Whole licences; TEMPLATES has only their opening paragraphs.
+FULL_TEXTS = [
+    ("BSD-2-Clause", f"{_OPENING['BSD-2-Clause']} {_BSD_END}"),
+    (
+        "BSD-3-Clause",
+        f"{_OPENING['BSD-2-Clause']} 3. Neither the name of the copyright holder nor the names of its contributors may be used to endorse or promote products derived from this software without specific prior written permission. {_BSD_END}",
+    ),
+    (
+        "ISC",
+        f"{_OPENING['ISC']} {_AS_IS} AND THE AUTHOR DISCLAIMS ALL WARRANTIES WITH REGARD TO THIS SOFTWARE INCLUDING ALL IMPLIED WARRANTIES OF MERCHANTABILITY AND FITNESS. "
+        "IN NO EVENT SHALL THE AUTHOR BE LIABLE FOR ANY SPECIAL, DIRECT, INDIRECT, OR CONSEQUENTIAL DAMAGES OR ANY DAMAGES WHATSOEVER RESULTING FROM LOSS OF USE, DATA OR PROFITS, WHETHER IN AN ACTION OF CONTRACT, NEGLIGENCE OR OTHER TORTIOUS ACTION, ARISING OUT OF OR IN CONNECTION WITH THE USE OR PERFORMANCE OF THIS SOFTWARE.",
+    ),
+    (
+        "MIT",
+        f"{_OPENING['MIT']} {_AS_IS}, WITHOUT WARRANTY OF ANY KIND, EXPRESS OR IMPLIED, INCLUDING BUT NOT LIMITED TO THE WARRANTIES OF MERCHANTABILITY, FITNESS FOR A PARTICULAR PURPOSE AND NONINFRINGEMENT. "
+        "IN NO EVENT SHALL THE AUTHORS OR COPYRIGHT HOLDERS BE LIABLE FOR ANY CLAIM, DAMAGES OR OTHER LIABILITY, WHETHER IN AN ACTION OF CONTRACT, TORT OR OTHERWISE, ARISING FROM, OUT OF OR IN CONNECTION WITH THE SOFTWARE OR THE USE OR OTHER DEALINGS IN THE SOFTWARE.",
+    ),
+]
 WORDS = r"[^\p{L}\p{N}]+"
 
 
@@ -66,8 +94,6 @@ def _bigrams(words: Column, n: Column) -> Column:
 
 
 def template_bigrams(template: str) -> list[str]:
-    import re
-
     words = [w for w in re.split(r"[\W_]+", template.lower()) if w]
     return list(dict.fromkeys(f"{a} {b}" for a, b in zip(words, words[1:], strict=False)))
 
@@ -77,7 +103,7 @@ def scan_units(units: DataFrame, keep: list[str], templates: list[tuple[str, str
 
     The templates are constants of the plan; a unit is tested against those of a fitting size, inside its row.
     """
-    known = [(name, template_bigrams(text)) for name, text in (TEMPLATES if templates is None else templates)]
+    known = [(name, template_bigrams(text)) for name, text in (TEMPLATES + FULL_TEXTS if templates is None else templates)]
     low, high = min_dice / (2 - min_dice), (2 - min_dice) / min_dice
     smallest = min(len(b) for _, b in known) * low
     # Each step's value comes out of a generator of one row: a filter on it is then not pushed
@@ -95,15 +121,73 @@ def scan_units(units: DataFrame, keep: list[str], templates: list[tuple[str, str
     return found.select(*keep, F.col("_best.license").alias("license"), (-F.col("_best.dice")).alias("dice"))
 
 
+def _let(value: Column, body) -> Column:
+    """body(value), with value computed once."""
+    return F.element_at(F.transform(F.array(value), body), 1)
+
+
+def scan_runs(docs: DataFrame, templates: list[tuple[str, str]] | None = None, min_dice: float = MIN_DICE) -> DataFrame:
+    """(doc_id, text) to (doc_id, line_no, license, dice) of runs of two or more lines that are like a template.
+
+    line_no is the run's first line. A run has no more words than the largest fitting set of the
+    template's bigrams makes, in the template's proportion of words to distinct bigrams. Of runs that overlap the likest stays, of
+    equals the shortest, then the first; none overlaps a line that is like a template by itself, and none
+    is in a text that is so as a whole. Only texts that have the bigrams a run needs are looked at.
+    """
+    known = [(name, template_bigrams(text), len([w for w in re.split(r"[\W_]+", text) if w])) for name, text in (TEMPLATES + FULL_TEXTS if templates is None else templates)]
+    low, high = min_dice / (2 - min_dice), (2 - min_dice) / min_dice
+    # A set of n bigrams has min_dice (n + |B|) / 2 of a template's at least, and n is |B| low at least.
+    need = [ceil(len(own) * low - 1e-9) for _, own, _ in known]
+    every = F.array(*[F.lit(g) for g in dict.fromkeys(g for _, own, _ in known for g in own)])
+    lists = [F.array(*[F.lit(g) for g in own]) for _, own, _ in known]
+    words = docs.where(F.instr("text", "\n") > 0).select("doc_id", "text", F.explode(F.array(normal_words(F.col("text")))).alias("_w"))
+    grams = words.select("doc_id", "text", "_w", F.explode(F.array(F.array_intersect(_bigrams(F.col("_w"), F.size("_w")), every))).alias("_own")).where(F.size("_own") >= min(need))
+    usable = F.array(*[(F.size(F.array_intersect("_own", own)) >= n) for own, n in zip(lists, need, strict=True)])
+    fit = grams.select("doc_id", "text", "_w", F.explode(F.array(usable)).alias("_ok")).where(F.array_contains("_ok", True))
+    numbered = F.transform(F.split("text", "\n"), lambda line, i: F.struct((i + 1).alias("no"), F.size(normal_words(line)).alias("n")))
+    lines = fit.select("doc_id", "_w", "_ok", F.explode(F.array(F.filter(numbered, lambda x: x["n"] > 0))).alias("_lines"))
+    ends = F.aggregate("_lines", F.array(F.lit(0)), lambda acc, x: F.concat(acc, F.array(F.element_at(acc, -1) + x["n"])))
+    most = F.greatest(*[F.when(F.col("_ok")[k], F.lit(int(high * n) + 1)).otherwise(F.lit(1)) for k, (_, _, n) in enumerate(known)], F.lit(1))
+    lines = lines.select("doc_id", "_w", "_ok", "_lines", F.explode(F.array(ends)).alias("_ends"), most.alias("_most"))
+    last = F.size("_lines")
+
+    def scored(i: Column, j: Column) -> Column:
+        """The run from line i to line j, of those that have words: rank, minus dice, length, first line, license."""
+        size = F.col("_ends")[j] - F.col("_ends")[i - 1]
+
+        def best(g: Column) -> Column:
+            n = F.size(g)
+            scores = []
+            for k, (name, own, _) in enumerate(known):
+                fits = F.col("_ok")[k] & (F.lit(len(own)) >= n * low) & (F.lit(len(own)) <= n * high)
+                scores.append(F.when(fits, F.struct((F.size(F.array_intersect(g, lists[k])) * -2.0 / (n + len(own))).alias("dice"), F.lit(name).alias("license"))))
+            own_best = F.least(*scores) if len(scores) > 1 else scores[0]
+            by_itself = (i == j) | ((i == 1) & (j == last))
+            return _let(own_best, lambda x: F.struct(F.when(by_itself, 0).otherwise(1).alias("rank"), x["dice"].alias("dice"), (j - i).alias("more"), i.alias("i"), j.alias("j"), x["license"].alias("license")))
+
+        return _let(F.slice(F.col("_w"), F.col("_ends")[i - 1] + 1, size), lambda w: _let(_bigrams(w, size), best))
+
+    def from_line(i: Column) -> Column:
+        to = F.filter(F.sequence(i, F.least(last, i + F.col("_most"))), lambda j: F.col("_ends")[j] - F.col("_ends")[i - 1] <= F.col("_most"))
+        return F.filter(F.transform(to, lambda j: scored(i, j)), lambda x: x["dice"] <= -min_dice)
+
+    # The whole text may be longer than any run; it is looked at beside them.
+    runs = F.concat(F.flatten(F.transform(F.sequence(F.lit(1), last), from_line)), F.filter(F.array(scored(F.lit(1), last)), lambda x: x["dice"] <= -min_dice))
+    runs = lines.select("doc_id", "_lines", F.explode(F.array(F.sort_array(runs))).alias("_runs")).where(F.exists("_runs", lambda x: x["rank"] == 1))
+    chosen = F.aggregate("_runs", F.slice("_runs", 1, 0), lambda acc, x: F.when(F.exists(acc, lambda y: (y["i"] <= x["j"]) & (x["i"] <= y["j"])), acc).otherwise(F.concat(acc, F.array(x))))
+    found = runs.select("doc_id", "_lines", F.explode(F.filter(chosen, lambda x: x["rank"] == 1)).alias("_run"))
+    return found.select("doc_id", F.col("_lines")[F.col("_run.i") - 1]["no"].cast("long").alias("line_no"), F.col("_run.license").alias("license"), (-F.col("_run.dice")).alias("dice"))
+
+
 def license_scan(docs: DataFrame, templates: list[tuple[str, str]] | None = None, min_dice: float = MIN_DICE) -> DataFrame:
-    """(doc_id, text) to a row for each line, and each whole text of several lines, that is like a template.
+    """(doc_id, text) to a row for each line, each run of lines, and each whole text of several lines, that is like a template.
 
-    doc_id, line_no (from 1; 0 for the whole text), license, dice. Null and empty texts
+    doc_id, line_no (from 1; a run's first; 0 for the whole text), license, dice. Null and empty texts
     have no row; repeated rows each have theirs. No exchange.
     """
     lines = docs.select("doc_id", F.posexplode_outer(F.split("text", "\n")).alias("at", "unit")).where(F.col("unit").isNotNull()).select("doc_id", (F.col("at") + 1).cast("long").alias("line_no"), "unit")
     whole = docs.where(F.instr("text", "\n") > 0).select("doc_id", F.lit(0).cast("long").alias("line_no"), F.col("text").alias("unit"))
-    return scan_units(lines.union(whole), ["doc_id", "line_no"], templates, min_dice)
+    return scan_units(lines.union(whole), ["doc_id", "line_no"], templates, min_dice).union(scan_runs(docs, templates, min_dice))
 
 
 def op5_license_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
