@@ -3,7 +3,11 @@
 from __future__ import annotations
 
 import tempfile
+from collections.abc import Iterator
 
+import numpy as np
+import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -50,6 +54,18 @@ def map_arrow(df: DataFrame, function, schema) -> DataFrame:
     return df.mapInArrow(function, schema)
 
 
+def text_blocks(batches: Iterator[pa.RecordBatch], at: int, size: int) -> Iterator[pa.RecordBatch]:
+    """The batches' rows again, with about ``size`` bytes of text in column ``at`` at a time; a longer text is a block of its own."""
+    for batch in batches:
+        ends = np.cumsum(pc.fill_null(pc.binary_length(batch.column(at)), 0).to_numpy(zero_copy_only=False).astype(np.int64))
+        start = 0
+        while start < batch.num_rows:
+            before = int(ends[start - 1]) if start else 0
+            stop = max(start + 1, int(np.searchsorted(ends, before + size, "right")))
+            yield batch.slice(start, stop - start)
+            start = stop
+
+
 def long_array(values: list[int]) -> Column:
     return F.array(*[F.lit(int(v)).cast("long") for v in values])
 

@@ -80,16 +80,55 @@ def test_elias_fano_round_trip():
     assert len(EliasFano.encode(np.arange(0, 10**7, 500)).to_bytes()) < 20_000 * (2 + 9 + 1) / 8 * 1.2
 
 
-def test_pieces_are_the_whole_texts():
+@pytest.mark.parametrize("name", ["byte_bpe_50k.json", "word_bpe_49k.json"])
+def test_segments_are_the_whole_texts(name):
+    """Also with a tokenizer that cuts texts in another way."""
     from tokenizers import Tokenizer
 
-    with open(P.path("byte_bpe_50k.json"), encoding="utf-8") as f:
+    with open(P.path(name), encoding="utf-8") as f:
         text = f.read()
-    own, encoder = Tokenizer.from_str(text), tokenfiles.PieceEncoder(text, cache_pieces=40)
+    own, encoder = Tokenizer.from_str(text), tokenfiles.PieceEncoder(text, cache_segments=40)
     texts = _texts(3, 3000)
     for at in range(0, len(texts), 7):
         part = texts[at : at + 7]
-        assert [np.frombuffer(b, "<u2").tolist() for b in encoder.encode(part)] == [own.encode(t, add_special_tokens=False).ids for t in part]
+        assert [np.frombuffer(b, encoder.type).tolist() for b in encoder.encode(part)] == [own.encode(t, add_special_tokens=False).ids for t in part]
+
+
+def test_plain_texts_are_the_whole_texts():
+    """Letters of Latin scripts, marks and line ends in every order: what is cut into words."""
+    from tokenizers import Tokenizer
+
+    with open(P.path("byte_bpe_50k.json"), encoding="utf-8") as f:
+        text = f.read()
+    own, encoder, rng = Tokenizer.from_str(text), tokenfiles.PieceEncoder(text), random.Random(4)
+    texts = ["".join(rng.choices(["a", "the", "É", "ß", "×", "÷", " ", " ", "\n", "(", ").", "-", "'s", "7", "Ā"], k=rng.randint(0, 14))) for _ in range(6000)]
+    assert [np.frombuffer(b, "<u2").tolist() for b in encoder.encode(texts)] == [own.encode(t, add_special_tokens=False).ids for t in texts]
+
+
+def test_a_task_that_runs_again_replaces_its_file(tmp_path, monkeypatch):
+    """Also where a move refuses a name that is taken."""
+    from pyarrow import fs
+
+    class Refusing:
+        def __init__(self):
+            self.own = fs.LocalFileSystem()
+
+        def __getattr__(self, name):
+            return getattr(self.own, name)
+
+        def move(self, a, b):
+            if self.own.get_file_info(b).type != fs.FileType.NotFound:
+                raise OSError("taken")
+            self.own.move(a, b)
+
+    monkeypatch.setattr(tokenfiles, "file_system", lambda uri: (Refusing(), uri))
+    blocks = [([None, 3], np.array([5, 6, 2, 2], "<u2"), np.array([3, 4])), ([9], np.array([2], "<u2"), np.array([1]))]
+    for _ in range(2):
+        assert tokenfiles.write_file(str(tmp_path), "a.ids", iter(blocks), 2) == (3, 5)
+    with pytest.raises(ValueError):
+        tokenfiles.write_file(str(tmp_path), "b.ids", iter(blocks[::-1]), 2)
+    assert [p.name for p in tmp_path.iterdir()] == ["a.ids"]
+    assert [(i, at, ids.tolist()) for i, at, ids in tokenfiles.TokenFile(str(tmp_path), "a.ids").documents()] == [(None, 0, [5, 6, 2]), (3, 3, [2]), (9, 4, [2])]
 
 
 def test_files_round_trip(spark, tmp_path):
