@@ -15,6 +15,8 @@ from __future__ import annotations
 import numpy as np
 
 DIRECTIONS = ("f", "b")
+#: Rows that are read side by side, and positions whose probabilities are made together.
+ROWS, POSITIONS = 2048, 32
 
 
 def _sigmoid(x: np.ndarray) -> np.ndarray:
@@ -29,54 +31,106 @@ def init(hidden: int, labels: int, seed: int) -> dict[str, np.ndarray]:
     return {k: v.astype(np.float32) for k, v in w.items()}
 
 
-def _run(w: dict[str, np.ndarray], d: str, x: np.ndarray, tape: list | None = None) -> np.ndarray:
-    """States after each position of x (rows x length), in the order of the positions."""
+def _taped(w: dict[str, np.ndarray], d: str, x: np.ndarray, tape: list) -> np.ndarray:
+    """States after each position of x (rows x length), in the order of the positions; what backpropagation needs goes on the tape."""
     rows, length = x.shape
     n = w[f"U{d}"].shape[0]
     W, U, b = w[f"W{d}"], w[f"U{d}"], w[f"b{d}"]
-    h = np.zeros((rows, n), np.float32)
-    out = np.empty((length, rows, n), np.float32)
+    h = np.zeros((rows, n), W.dtype)
+    out = np.empty((length, rows, n), W.dtype)
     for t in range(length) if d == "f" else range(length - 1, -1, -1):
         a, g = W[x[:, t]], h @ U
         zr = _sigmoid(a[:, : 2 * n] + g[:, : 2 * n])
         z, r = zr[:, :n], zr[:, n:]
         inner = g[:, 2 * n :] + b
         c = np.tanh(a[:, 2 * n :] + r * inner)
-        new = c + z * (h - c)
-        if tape is not None:
-            tape.append((t, h, z, r, c, inner))
-        out[t] = h = new
+        tape.append((t, h, z, r, c, inner))
+        out[t] = h = c + z * (h - c)
     return out
 
 
-def probabilities(w: dict[str, np.ndarray], x: np.ndarray) -> np.ndarray:
-    """length x rows x labels: the labels' probabilities at each position."""
-    s = _run(w, "f", x) @ w["Vf"] + _run(w, "b", x) @ w["Vb"] + w["out"]
-    s -= s.max(axis=2, keepdims=True)
+def _scores(w: dict[str, np.ndarray], d: str, places: np.ndarray) -> np.ndarray:
+    """length x labels x rows: what one direction adds to the labels' scores at each position of places (length x rows).
+
+    States are columns here, so that gates are contiguous blocks of rows. The gates' halves
+    of sigmoid(x) = (tanh(x / 2) + 1) / 2 are in the weights, and a last state of 1 carries the bias.
+    """
+    length, rows = places.shape
+    n, labels = w[f"V{d}"].shape
+    half = np.concatenate([np.full(2 * n, 0.5, np.float32), np.ones(n, np.float32)])
+    W = np.ascontiguousarray((w[f"W{d}"] * half).T)
+    bias = np.concatenate([np.zeros(2 * n, np.float32), w[f"b{d}"]])[:, None]
+    U = np.concatenate([w[f"U{d}"].T, bias], axis=1) * np.float32(0.5)
+    V = np.concatenate([w[f"V{d}"].T, np.zeros((labels, 1), np.float32)], axis=1)
+    state = np.zeros((n + 1, rows), np.float32)
+    state[n] = 1
+    h = state[:n]
+    a, g, out = np.empty((3 * n, rows), np.float32), np.empty((3 * n, rows), np.float32), np.empty((length, labels, rows), np.float32)
+    zr, c = g[: 2 * n], g[2 * n :]
+    for t in range(length) if d == "f" else range(length - 1, -1, -1):
+        np.take(W, places[t], axis=1, out=a, mode="clip")
+        np.matmul(U, state, out=g)
+        zr += a[: 2 * n]
+        np.tanh(zr, out=zr)
+        zr += 1  # twice the gates
+        c *= zr[n:]
+        c += a[2 * n :]
+        np.tanh(c, out=c)
+        h -= c
+        h *= zr[:n]
+        h *= np.float32(0.5)
+        h += c
+        np.matmul(V, state, out=out[t])
+    return out
+
+
+def _softmax(s: np.ndarray, axis: int) -> np.ndarray:
+    s -= s.max(axis=axis, keepdims=True)
     np.exp(s, out=s)
-    return s / s.sum(axis=2, keepdims=True)
+    s /= s.sum(axis=axis, keepdims=True)
+    return s
 
 
-def gradients(w: dict[str, np.ndarray], x: np.ndarray, y: np.ndarray) -> tuple[float, dict[str, np.ndarray]]:
-    """Mean cross-entropy over all positions of rows x with labels y, and its gradients."""
-    rows, length = x.shape
+def probabilities(w: dict[str, np.ndarray], x: np.ndarray) -> np.ndarray:
+    """length x rows x labels: the labels' probabilities at each position of x (rows x length)."""
+    places = np.ascontiguousarray(x.T).astype(np.intp)
+    return _softmax(_scores(w, "f", places) + _scores(w, "b", places) + w["out"][:, None], 1).transpose(0, 2, 1)
+
+
+def pooled(w: dict[str, np.ndarray], x: np.ndarray, counted: np.ndarray) -> np.ndarray:
+    """rows x labels: the sums of the labels' probabilities over each row's positions that are counted."""
+    out = np.zeros((len(x), len(w["out"])), np.float64)
+    for at in range(0, len(x), ROWS):
+        places = np.ascontiguousarray(x[at : at + ROWS].T).astype(np.intp)
+        which = np.ascontiguousarray(counted[at : at + ROWS].T)
+        scores = _scores(w, "f", places)
+        scores += _scores(w, "b", places)
+        scores += w["out"][:, None]
+        for t in range(0, len(places), POSITIONS):
+            p = _softmax(scores[t : t + POSITIONS], 1)
+            p *= which[t : t + POSITIONS, None, :]
+            out[at : at + ROWS] += p.sum(axis=0).T
+    return out
+
+
+def gradients(w: dict[str, np.ndarray], x: np.ndarray, y: np.ndarray, counted: np.ndarray) -> tuple[float, dict[str, np.ndarray]]:
+    """Mean cross-entropy over the positions of rows x with labels y that are counted (rows x length), and its gradients."""
+    rows = len(x)
     tapes: dict[str, list] = {d: [] for d in DIRECTIONS}
-    states = {d: _run(w, d, x, tapes[d]) for d in DIRECTIONS}
-    s = states["f"] @ w["Vf"] + states["b"] @ w["Vb"] + w["out"]
-    s -= s.max(axis=2, keepdims=True)
-    p = np.exp(s)
-    p /= p.sum(axis=2, keepdims=True)
-    loss = float(-np.log(np.maximum(p[:, np.arange(rows), y], 1e-12)).mean())
+    states = {d: _taped(w, d, x, tapes[d]) for d in DIRECTIONS}
+    p = _softmax(states["f"] @ w["Vf"] + states["b"] @ w["Vb"] + w["out"], 2)
+    share = (counted.T / max(1, int(counted.sum()))).astype(p.dtype)
+    loss = float(-(np.log(np.maximum(p[:, np.arange(rows), y], 1e-12)) * share).sum())
     p[:, np.arange(rows), y] -= 1
-    p /= rows * length
+    p *= share[:, :, None]
     g = {"out": p.sum(axis=(0, 1))}
     for d in DIRECTIONS:
         U, V = w[f"U{d}"], w[f"V{d}"]
         n = U.shape[0]
         g[f"V{d}"] = np.tensordot(states[d], p, axes=((0, 1), (0, 1)))
         back = p @ V.T
-        gW, gU, gb = np.zeros_like(w[f"W{d}"]), np.zeros_like(U), np.zeros(n, np.float32)
-        dh = np.zeros((rows, n), np.float32)
+        gW, gU, gb = np.zeros_like(w[f"W{d}"]), np.zeros_like(U), np.zeros_like(w[f"b{d}"])
+        dh = np.zeros((rows, n), U.dtype)
         for t, h, z, r, c, inner in reversed(tapes[d]):
             dh = dh + back[t]
             dc = dh * (1 - z) * (1 - c * c)
@@ -87,7 +141,7 @@ def gradients(w: dict[str, np.ndarray], x: np.ndarray, y: np.ndarray) -> tuple[f
             up = np.concatenate([dz, dr, dc], axis=1)
             gb += dinner.sum(axis=0)
             gU += h.T @ down
-            onto = np.zeros((256, rows), np.float32)
+            onto = np.zeros((256, rows), U.dtype)
             onto[x[:, t], np.arange(rows)] = 1
             gW += onto @ up
             dh = dh * z + down @ U.T
@@ -95,23 +149,17 @@ def gradients(w: dict[str, np.ndarray], x: np.ndarray, y: np.ndarray) -> tuple[f
     return loss, g
 
 
-def train(rows: list[bytes], labels: np.ndarray, weight: np.ndarray, n_labels: int, hidden: int, steps: int, batch: int, rate: float, seed: int) -> dict[str, np.ndarray]:
-    """Fits to byte strings with a label and a weight each. Every step draws one length, then strings of that length."""
+def train(x: np.ndarray, labels: np.ndarray, counted: np.ndarray, n_labels: int, hidden: int, steps: int, batch: int, rate: float, seed: int) -> dict[str, np.ndarray]:
+    """Fits to rows of bytes (rows x length) with a label each; labels weigh alike, however many rows each has."""
     rng = np.random.default_rng(seed)
     w = init(hidden, n_labels, seed)
-    lengths = np.array([len(r) for r in rows])
-    pools = []
-    for n in np.unique(lengths):
-        at = np.nonzero(lengths == n)[0]
-        share = weight[at] / weight[at].sum()
-        pools.append((np.frombuffer(b"".join(rows[i] for i in at), np.uint8).reshape(len(at), n), labels[at], np.cumsum(share), weight[at].sum() * n))
-    chance = np.cumsum([p[3] for p in pools]) / sum(p[3] for p in pools)
+    own = [np.flatnonzero(labels == k) for k in range(n_labels)]
+    own = [rows for rows in own if len(rows)]
     first = {k: np.zeros_like(v) for k, v in w.items()}
     second = {k: np.zeros_like(v) for k, v in w.items()}
     for step in range(1, steps + 1):
-        x, y, share, _ = pools[min(int(np.searchsorted(chance, rng.random())), len(pools) - 1)]
-        at = np.minimum(np.searchsorted(share, rng.random(batch)), len(y) - 1)
-        _, g = gradients(w, x[at], y[at])
+        at = np.array([own[k][rng.integers(len(own[k]))] for k in rng.integers(0, len(own), batch)])
+        _, g = gradients(w, x[at], labels[at], counted[at])
         norm = np.sqrt(sum(float((v * v).sum()) for v in g.values()))
         scale = min(1.0, 1.0 / max(norm, 1e-9))
         lr = rate * (1 - 0.9 * step / steps)

@@ -1,18 +1,18 @@
 """Language identification by a bidirectional gated recurrent network over bytes.
 
-The network (``bigru``) reads each run of characters between white space, lower-cased
-and with a blank before and after, and gives every byte of it the languages'
-probabilities; a document's are the mean over all its positions. As a run's labels
-depend on nothing outside it, each distinct run is labelled once by each worker.
+The network (``bigru``) reads whole texts, lower-cased, as bytes, in windows: ``CORE`` bytes that it
+labels with ``CONTEXT`` bytes on either side of them, blanks before a text's start and after
+its end. Every text is cut by this one rule, whatever its length. Each byte gets the
+languages' probabilities; a document's are the mean over all bytes of its letters.
 
 It is trained on the driver from a bounded sample: about ``TRAIN_DOCS`` labelled
-documents for each language, chosen by a hash of their id.
+documents for each of at most ``MAX_LANGUAGES`` languages, chosen by a hash of their id, and of
+these ``TRAIN_WINDOWS`` windows of ``TRAIN_BYTES`` bytes, chosen by a hash of their bytes.
 """
 
 from __future__ import annotations
 
-import re
-from collections import Counter
+import zlib
 from collections.abc import Iterator
 from dataclasses import dataclass
 
@@ -23,20 +23,27 @@ from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
 from framewright.llm import bigru
-from framewright.llm.common import map_arrow, read_table, uniform
+from framewright.llm.common import map_arrow, read_table, text_blocks, uniform
 
 TRAIN_DOCS = 500
-#: Distinct runs that are trained on, the most frequent of each language.
-TRAIN_RUNS = 50_000
-TRAIN_BYTES = 34
-HIDDEN, STEPS, BATCH, RATE, SEED = 16, 300, 512, 0.02, 7
+TRAIN_WINDOWS = 1500
+TRAIN_BYTES = 64
+#: The most frequent labels are learned; a label beyond them is no language.
+MAX_LANGUAGES = 200
+#: Letters that a window must have to be trained on.
+TRAIN_LETTERS = 8
+HIDDEN, STEPS, BATCH, RATE, SEED = 12, 200, 192, 0.02, 7
 UNKNOWN = "und"
-#: Longer runs are read in stretches of so many bytes.
-STRETCH = 64
-CACHE_RUNS = 500_000
-BLOCK_CHARS = 2_000_000
-#: ``keep_identified`` rejects documents whose best language is less than so many times as probable as by chance.
-MIN_LIFT = 1.02
+CORE, CONTEXT = 224, 16
+WINDOW = CORE + 2 * CONTEXT
+#: A text's last window is filled up with blanks to a multiple of so many bytes.
+STEP = 32
+BLOCK_BYTES = 2_000_000
+#: ``keep_identified`` rejects documents of whose letters no language has so much of the probability.
+MIN_SCORE = 0.5
+_LETTER = np.zeros(256, bool)
+_LETTER[[*range(97, 123), *range(128, 256)]] = True
+_BLANK = 32
 
 
 @dataclass(frozen=True)
@@ -49,159 +56,114 @@ def held_out(doc_id: Column) -> Column:
     return F.coalesce(F.crc32(doc_id.cast("string").cast("binary")) % 4 == 2, F.lit(False))
 
 
-def _run_counts(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    for batch in batches:
-        counts: dict[str, Counter] = {}
-        for lang, text in zip(batch.column(0).to_pylist(), batch.column(1), strict=True):
-            counts.setdefault(lang, Counter()).update((text.as_py() or "").lower().split())
-        rows = [(lang, run, n) for lang, c in counts.items() for run, n in c.items() if len(run) <= TRAIN_BYTES]
-        yield pa.RecordBatch.from_arrays([pa.array([r[0] for r in rows], pa.string()), pa.array([r[1] for r in rows], pa.string()), pa.array([r[2] for r in rows], pa.int64())], ["lang", "run", "n"])
+def _data(text: str | None) -> bytes:
+    return (text or "").lower().encode("utf-8", "surrogatepass")
 
 
-def train(docs: DataFrame, train_docs: int = TRAIN_DOCS, train_runs: int = TRAIN_RUNS, steps: int = STEPS) -> Model:
+def _train_windows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """(lang, text) to (lang, hash, window), of each batch and language those with the least hashes."""
+    for batch in batches:
+        found: dict[str, set[tuple[int, bytes]]] = {}
+        for lang, text in zip(batch.column(0).to_pylist(), batch.column(1), strict=True):
+            framed = b" " * CONTEXT + _data(text.as_py()) + b" " * (CONTEXT + TRAIN_BYTES)
+            whole = np.frombuffer(framed, np.uint8, len(framed) // TRAIN_BYTES * TRAIN_BYTES).reshape(-1, TRAIN_BYTES)
+            rich = whole[_LETTER[whole].sum(axis=1) >= TRAIN_LETTERS]
+            own = found.setdefault(lang, set())
+            own.update((zlib.crc32(w), w) for w in map(bytes, rich))
+            if len(own) > 4 * TRAIN_WINDOWS:
+                found[lang] = set(sorted(own)[:TRAIN_WINDOWS])
+        rows = [(lang, *w) for lang, own in found.items() for w in sorted(own)[:TRAIN_WINDOWS]]
+        yield pa.RecordBatch.from_arrays([pa.array([r[0] for r in rows], pa.string()), pa.array([r[1] for r in rows], pa.int64()), pa.array([r[2] for r in rows], pa.binary())], ["lang", "hash", "bytes"])
+
+
+def train(docs: DataFrame, train_docs: int = TRAIN_DOCS, train_windows: int = TRAIN_WINDOWS, steps: int = STEPS) -> Model:
     """Fits to docs (doc_id, text, lang); those without label, text or id, or held out, are not used.
 
-    The driver gets at most ``train_runs`` distinct runs of characters for each
-    language, with their frequencies, whatever the size of docs. Languages weigh alike.
+    The driver gets at most ``train_windows`` (no more than ``TRAIN_WINDOWS``) windows of each of at most
+    ``MAX_LANGUAGES`` languages, whatever the size of docs. Languages weigh alike.
     """
-    labelled = docs.where(F.col("lang").isNotNull() & F.col("text").isNotNull() & F.col("doc_id").isNotNull() & ~held_out(F.col("doc_id")))
-    sizes = {r["lang"]: r["n"] for r in labelled.groupBy("lang").agg(F.count("*").alias("n")).collect()}  # a row for each language
-    if not sizes:
+    spark = docs.sparkSession
+    labelled = docs.where(F.col("lang").isNotNull() & F.col("text").isNotNull() & F.col("doc_id").isNotNull() & ~held_out(F.col("doc_id"))).select("doc_id", "lang", "text")
+    most = labelled.groupBy("lang").agg(F.count("*").alias("n")).orderBy(F.col("n").desc(), "lang").limit(MAX_LANGUAGES)
+    shares = [(r["lang"], min(1.0, train_docs / r["n"])) for r in most.collect()]
+    if not shares:
         return Model([], {})
-    share = F.lit(0.0)
-    for lang, n in sizes.items():
-        share = F.when(F.col("lang") == lang, F.lit(min(1.0, train_docs / n))).otherwise(share)
-    sample = labelled.where(uniform(F.lit("lang-1"), F.col("doc_id")) < share).select("lang", "text")
-    runs = map_arrow(sample, _run_counts, "lang string, run string, n long").groupBy("lang", "run").agg(F.sum("n").alias("n"))
-    order = Window.partitionBy("lang").orderBy(F.col("n").desc(), "run")  # of the sample's runs
-    found = runs.withColumn("k", F.row_number().over(order)).where(F.col("k") <= train_runs).collect()
-    languages = sorted(sizes)
-    total = Counter()
-    for r in found:
-        total[r["lang"]] += r["n"]
-    rows, labels, weight = [], [], []
-    for lang, run, n in sorted((r["lang"], r["run"], r["n"]) for r in found):
-        data = _framed(run)
-        if len(data) <= TRAIN_BYTES:
-            rows.append(data)
-            labels.append(languages.index(lang))
-            weight.append(n / total[lang])
+    chosen = F.broadcast(spark.createDataFrame(shares, "lang string, share double"))  # MAX_LANGUAGES rows at most
+    sample = labelled.where(F.col("lang").isin([s for s, _ in shares])).join(chosen, "lang").where(uniform(F.lit("lang-1"), F.col("doc_id")) < F.col("share")).select("lang", "text")
+    windows = map_arrow(sample, _train_windows, "lang string, hash long, bytes binary").distinct()
+    order = Window.partitionBy("lang").orderBy("hash", "bytes")  # of the sample's windows
+    rows = windows.withColumn("k", F.row_number().over(order)).where(F.col("k") <= min(train_windows, TRAIN_WINDOWS)).select("lang", "bytes").collect()
+    rows = sorted((r["lang"], bytes(r["bytes"])) for r in rows)
+    languages = sorted({lang for lang, _ in rows})
     if not rows:
         return Model([], {})
-    return Model(languages, bigru.train(rows, np.array(labels), np.array(weight), len(languages), HIDDEN, steps, BATCH, RATE, SEED))
-
-
-def _framed(run: str) -> bytes:
-    return b" " + run.encode("utf-8", "surrogatepass") + b" "
+    x = np.frombuffer(b"".join(w for _, w in rows), np.uint8).reshape(-1, TRAIN_BYTES)
+    place = {lang: k for k, lang in enumerate(languages)}
+    return Model(languages, bigru.train(x, np.array([place[lang] for lang, _ in rows]), _LETTER[x], len(languages), HIDDEN, steps, BATCH, RATE, SEED))
+
+
+def windows_of(texts: list[bytes]) -> Iterator[tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]]:
+    """Windows of equal length of all texts: the text's number, where the window's core starts in it, bytes, and which bytes are letters of the core."""
+    framed = np.frombuffer(b"".join(b" " * CONTEXT + t + b" " * (CONTEXT + STEP) for t in texts), np.uint8)
+    size = np.array([len(t) for t in texts])
+    begin = np.cumsum(size + 2 * CONTEXT + STEP) - (size + 2 * CONTEXT + STEP)
+    cores = -(-size // CORE)
+    text = np.repeat(np.arange(len(texts)), cores)
+    at = (np.arange(len(text)) - np.repeat(np.cumsum(cores) - cores, cores)) * CORE
+    length = np.minimum(WINDOW, -(-(size[text] - at + 2 * CONTEXT) // STEP) * STEP)
+    for n in np.unique(length).tolist():
+        own = np.flatnonzero(length == n)
+        x = framed[(begin[text[own]] + at[own])[:, None] + np.arange(n)]
+        core = np.zeros(n, bool)
+        core[CONTEXT : CONTEXT + CORE] = True
+        yield text[own], at[own], x, _LETTER[x] & core
 
 
 class Identifier:
-    """Labels texts; keeps each short run's sum of probabilities and its number of positions."""
-
-    def __init__(self, model: Model, cache_runs: int = CACHE_RUNS):
-        self.model, self.cache_runs = model, cache_runs
-        self.place: dict[str, int] = {}
-        self.used = 0
-        self.sums = np.zeros((1024, len(model.languages) + 1), np.float32)
-
-    def _label(self, runs: list[str]) -> np.ndarray:
-        """Sum over a run's positions of the languages' probabilities, and the number of positions."""
-        out = np.zeros((len(runs), len(self.model.languages) + 1), np.float32)
-        by_length: dict[int, tuple[list[int], list[bytes]]] = {}
-        for i, run in enumerate(runs):
-            data = _framed(run)
-            for at in range(0, len(data), STRETCH):
-                piece = data[at : at + STRETCH]
-                own = by_length.setdefault(len(piece), ([], []))
-                own[0].append(i)
-                own[1].append(piece)
-        for n, (at, pieces) in by_length.items():
-            for start in range(0, len(pieces), 4096):
-                x = np.frombuffer(b"".join(pieces[start : start + 4096]), np.uint8).reshape(-1, n)
-                p = bigru.probabilities(self.model.weights, x).sum(axis=0)
-                np.add.at(out, at[start : start + 4096], np.concatenate([p, np.full((len(p), 1), n, np.float32)], axis=1))
-        return out
+    """Labels texts."""
+
+    def __init__(self, model: Model):
+        self.model = model
 
     def identify(self, texts: list[str]) -> tuple[list[str], list[float]]:
         """Language and score of each text; ``und`` and 0 where there is no letter, or nothing was learned."""
-        if self.used > self.cache_runs:
-            self.place.clear()
-            self.used = 0
-        place = self.place
-        split = [t.lower().split() if any(map(str.isalpha, t)) else [] for t in texts]
-        new = [r for r in dict.fromkeys(r for s in split for r in s) if r not in place]
-        if new and self.model.languages:
-            first, self.used = self.used, self.used + len(new)
-            place.update(zip(new, range(first, self.used), strict=True))
-            if self.used > len(self.sums):
-                self.sums = np.concatenate([self.sums, np.zeros((max(len(self.sums), self.used - len(self.sums)), self.sums.shape[1]), np.float32)])
-            self.sums[first : first + len(new)] = self._label(new)
-        languages, scores = [], []
-        for s in split:
-            if not s or not self.model.languages:
-                languages.append(UNKNOWN)
-                scores.append(0.0)
-                continue
-            total = self.sums[np.fromiter(map(place.__getitem__, s), np.int64, len(s))].sum(axis=0, dtype=np.float64)
-            best = int(total[:-1].argmax())
-            languages.append(self.model.languages[best])
-            scores.append(min(1.0, round(float(total[best] / total[-1]), 6)))
-        for r in new:  # long ones are not kept
-            if len(r) > STRETCH:
-                place.pop(r, None)
+        languages, scores = [UNKNOWN] * len(texts), [0.0] * len(texts)
+        at = [i for i, t in enumerate(texts) if any(map(str.isalpha, t))] if self.model.languages else []
+        if not at:
+            return languages, scores
+        sums, counts = np.zeros((len(at), len(self.model.languages))), np.zeros(len(at))
+        for text, _, x, counted in windows_of([_data(texts[i]) for i in at]):
+            np.add.at(sums, text, bigru.pooled(self.model.weights, x, counted))
+            np.add.at(counts, text, counted.sum(axis=1))
+        best = sums.argmax(axis=1)
+        for k, i in enumerate(at):
+            languages[i] = self.model.languages[best[k]]
+            scores[i] = min(1.0, round(float(sums[k, best[k]] / counts[k]), 6))
         return languages, scores
 
-
     def spans(self, text: str) -> list[tuple[int, int, str]]:
-        """(start, end, language) of stretches of equal labels, by bytes of the lower-cased text; white space has none."""
+        """(start, end, language) of stretches of letters with equal labels, by bytes of the lower-cased text."""
+        labels: dict[int, int] = {}
+        for _, starts, x, counted in windows_of([_data(text)]) if self.model.languages else ():
+            found = bigru.probabilities(self.model.weights, x).argmax(axis=2)
+            for row, at in enumerate(starts.tolist()):
+                labels.update((at + t - CONTEXT, int(found[t, row])) for t in np.flatnonzero(counted[row]).tolist())
         out: list[tuple[int, int, str]] = []
-        if not self.model.languages:
-            return out
-        lowered = text.lower()
-        for match in re.finditer(r"\S+", lowered):
-            start, data = len(lowered[: match.start()].encode("utf-8", "surrogatepass")), _framed(match.group())
-            labels: list[int] = []
-            for at in range(0, len(data), STRETCH):
-                x = np.frombuffer(data[at : at + STRETCH], np.uint8)[None, :]
-                labels += bigru.probabilities(self.model.weights, x)[:, 0].argmax(axis=1).tolist()
-            for i, label in enumerate(labels[1:-1]):
-                language = self.model.languages[label]
-                if out and i and out[-1][2] == language:
-                    out[-1] = (out[-1][0], start + i + 1, language)
-                else:
-                    out.append((start + i, start + i + 1, language))
+        for at in sorted(labels):
+            language = self.model.languages[labels[at]]
+            if out and out[-1][1:] == (at, language):
+                out[-1] = (out[-1][0], at + 1, language)
+            else:
+                out.append((at, at + 1, language))
         return out
 
 
-_IDENTIFIERS: dict[int, Identifier] = {}
-
-
-def _blocks(texts: list[str | None]) -> Iterator[tuple[int, int]]:
-    start = chars = 0
-    for i, t in enumerate(texts):
-        chars += len(t or "")
-        if chars >= BLOCK_CHARS:
-            yield start, i + 1
-            start, chars = i + 1, 0
-    if start < len(texts):
-        yield start, len(texts)
-
-
 def _labeller(model: Model, docs: DataFrame):
     """A function from a column of texts to languages and scores, for the workers."""
     shipped = docs.sparkSession.sparkContext.broadcast(model)  # some ten thousand numbers
-    key = hash(tuple(model.languages)) ^ hash(b"".join(v.tobytes() for v in model.weights.values()))
 
     def label(column: pa.Array) -> tuple[list[str], list[float]]:
-        if key not in _IDENTIFIERS:
-            _IDENTIFIERS.clear()
-            _IDENTIFIERS[key] = Identifier(shipped.value)
-        texts, languages, scores = column.to_pylist(), [], []
-        for a, b in _blocks(texts):
-            part = _IDENTIFIERS[key].identify([t or "" for t in texts[a:b]])
-            languages += part[0]
-            scores += part[1]
-        return languages, scores
+        return Identifier(shipped.value).identify([t or "" for t in column.to_pylist()])
 
     return label
 
@@ -215,25 +177,25 @@ def identify(docs: DataFrame, model: Model) -> DataFrame:
     label = _labeller(model, docs)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
+        for batch in text_blocks(batches, 1, BLOCK_BYTES):
             languages, scores = label(batch.column(1))
             yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(languages, pa.string()), pa.array(scores, pa.float64())], ["doc_id", "lang_pred", "score"])
 
     return map_arrow(docs.select(F.col("doc_id").cast("long"), F.col("text").cast("string")), run, "doc_id long, lang_pred string, score double")
 
 
-def least_score(model: Model, min_lift: float = MIN_LIFT) -> float:
-    return min(1.0, min_lift / max(1, len(model.languages)))
+def keep_identified(docs: DataFrame, model: Model, min_score: float = MIN_SCORE) -> DataFrame:
+    """The rows of docs, all columns, of whose letters one language has ``min_score`` of the probability or more.
 
-
-def keep_identified(docs: DataFrame, model: Model, min_lift: float = MIN_LIFT) -> DataFrame:
-    """The rows of docs, all columns, whose text has a language, and one that stands out from the others."""
-    min_score = least_score(model, min_lift)
+    Texts without letters go. With nothing learned nothing is judged, and all rows stay.
+    """
+    if not model.languages:
+        return docs
     label = _labeller(model, docs)
     at = docs.columns.index("text")
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
+        for batch in text_blocks(batches, at, BLOCK_BYTES):
             languages, scores = label(batch.column(at))
             yield batch.filter(pa.array([lang != UNKNOWN and s >= min_score for lang, s in zip(languages, scores, strict=True)], pa.bool_()))
 
