@@ -15,12 +15,12 @@ from framewright.llm.common import checkpoint_dir, read_table
 
 
 def language_id(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Keeps documents in a language that was learned from docs; those without letters or with no clear language go."""
+    """Keeps documents in a language that was learned from docs; those without letters go, and those in which no language has half of the probability."""
     return langid.keep_identified(docs, langid.train(docs))
 
 
 def simhash_near_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Keeps the document with the smallest id of each group of near copies: five-word shingles, Jaccard similarity 0.8 or more, verified."""
+    """Keeps the document with the smallest id of each group of near copies: SimHashes compared bit-sliced, Jaccard similarity of five-word shingles 0.8 or more."""
     return similar.near_dedup(docs)
 
 

@@ -48,6 +48,11 @@ def cut_lineage(df: DataFrame) -> DataFrame:
     return df.checkpoint(eager=True)
 
 
+def small(df: DataFrame, rows: int, most: int = 500_000) -> DataFrame:
+    """df, marked to be sent to all executors if its rows, counted, are few; else left to an exchange."""
+    return F.broadcast(df) if rows <= most else df
+
+
 def map_arrow(df: DataFrame, function, schema) -> DataFrame:
     """df.mapInArrow, by workers that can import this package."""
     find_package(df.sparkSession)

@@ -1,6 +1,6 @@
 """Near-duplicates by SimHash: fingerprints that differ in few bits are linked.
 
-Fingerprints are compared vertically: a block of them is stored as 64 bit planes, a
+Fingerprints are compared vertically: a block of them is stored as bit planes, a
 word of which holds one bit of 64 fingerprints. The exclusive or of two such blocks
 adds one to up to 64 distances at once; carry-save adders keep the distances as
 vertical counters, and lanes (in the end whole words) are abandoned when they
@@ -9,10 +9,9 @@ are all past the radius.
 
 from __future__ import annotations
 
-from collections.abc import Iterator
-from dataclasses import dataclass
+from collections.abc import Callable, Iterator
 from itertools import combinations
-from math import acos, comb, pi
+from math import comb
 
 import numpy as np
 import pyarrow as pa
@@ -23,6 +22,7 @@ from framewright.llm.common import cut_lineage, map_arrow, read_table
 from framewright.llm.components import SALTS, components
 
 SEED = 42
+SHINGLE, RADIUS = 4, 4
 #: Rows that are compared with each other in one task; larger groups are split into pairs of parts.
 GROUP_ROWS = 4096
 #: Rows that a task lays out as bit planes at once.
@@ -30,34 +30,6 @@ CHUNK_ROWS = 65_536
 MAX_RADIUS = 15
 
 
-@dataclass(frozen=True)
-class Rule:
-    """What is a near copy: fingerprints of ``words`` 64-bit words over ``shingle`` words of text.
-
-    Two are linked if they differ in at most ``radius`` bits in one of their words, and in
-    at most ``total`` bits in all of them.
-    """
-
-    shingle: int = 4
-    words: int = 1
-    radius: int = 4
-    total: int = 4
-
-
-def total_for(similarity: float, words: int) -> int:
-    """Bits in which texts may differ whose shingle sets, of one size, have this Jaccard similarity.
-
-    A bit differs with the probability angle / pi; the cosine of the angle is 2J / (1 + J).
-    """
-    return int(64 * words * acos(2 * similarity / (1 + similarity)) / pi)
-
-
-#: Links at 4 bits of one word of 64.
-EXACT_CONTRACT = Rule()
-#: Five words, a similarity of 0.8 or more by four words of 64 bits.
-SIMILAR = Rule(shingle=5, words=4, radius=8, total=total_for(0.8, 4))
-
-
 def shingle_hashes(text: str | None, shingle: int, seed: int = SEED) -> np.ndarray:
     """XXH64 of each run of ``shingle`` words in lower case (A-Z only), of all words if there are fewer."""
     import xxhash
@@ -84,45 +56,42 @@ def _mixed(hashes: np.ndarray, k: int) -> np.ndarray:
     return x ^ (x >> np.uint64(32))
 
 
-def fingerprint(text: str | None, shingle: int = EXACT_CONTRACT.shingle, words: int = 1) -> list[int]:
-    """The SimHash of a text, ``words`` words of 64 bits; 0 if it has no words.
-
-    A bit is set if it is set in more than half of the hashes, repeated ones counted each time.
-    """
-    hashes = shingle_hashes(text, shingle)
-    out = []
-    for k in range(words):
+def fingerprint_of(hashes: np.ndarray, words: int = 1) -> np.ndarray:
+    """The SimHash of 64-bit hashes, ``words`` words of 64 bits: a bit is set if it is set in more than half of them, repeated ones counted each time."""
+    out = np.zeros(words, np.uint64)
+    for k in range(words if len(hashes) else 0):
         counts = np.zeros(64, np.int64)
         for at in range(0, len(hashes), 1 << 16):
-            part = _mixed(hashes[at : at + (1 << 16)], k)
-            counts += np.add.reduce(np.unpackbits(part.view(np.uint8), bitorder="little").reshape(-1, 64), axis=0, dtype=np.int64)
-        out.append(int(np.packbits(counts * 2 > len(hashes), bitorder="little").view(np.uint64)[0]))
+            bits = np.unpackbits(_mixed(hashes[at : at + (1 << 16)], k).view(np.uint8), bitorder="little").view(np.uint64).reshape(-1, 8)
+            # Eight counters of a byte in a word; 255 rows at a time do not overflow them.
+            sums = np.add.reduceat(bits, np.arange(0, len(bits), 255), axis=0)
+            counts += sums.view(np.uint8).reshape(-1, 64).sum(axis=0, dtype=np.int64)
+        out[k] = np.packbits(counts * 2 > len(hashes), bitorder="little").view(np.uint64)[0]
     return out
 
 
-def _names(words: int) -> list[str]:
-    return [f"print{k}" for k in range(words)]
+def fingerprint(text: str | None, shingle: int = SHINGLE) -> int:
+    """The SimHash of a text's shingles; 0 if it has no words."""
+    return int(fingerprint_of(shingle_hashes(text, shingle))[0])
 
 
-def fingerprints(docs: DataFrame, rule: Rule = EXACT_CONTRACT) -> DataFrame:
-    """(doc_id, text) to (doc_id, print0, ...): the fingerprint's words as signed 64-bit numbers."""
-    names = _names(rule.words)
+def fingerprints(docs: DataFrame, shingle: int = SHINGLE) -> DataFrame:
+    """(doc_id, text) to (doc_id, print): the fingerprint as a signed 64-bit number."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            prints = np.array([fingerprint(x.as_py(), rule.shingle, rule.words) for x in batch.column(1)], np.uint64).reshape(-1, rule.words).view(np.int64)
-            yield pa.RecordBatch.from_arrays([batch.column(0), *[pa.array(np.ascontiguousarray(prints[:, k])) for k in range(rule.words)]], ["doc_id", *names])
+            prints = np.array([fingerprint(x.as_py(), shingle) for x in batch.column(1)], np.uint64).view(np.int64)
+            yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(prints)], ["doc_id", "print"])
 
-    docs = docs.select(F.col("doc_id").cast("long"), F.col("text").cast("string"))
-    return map_arrow(docs, run, ", ".join(["doc_id long", *[f"{n} long" for n in names]]))
+    return map_arrow(docs.select(F.col("doc_id").cast("long"), F.col("text").cast("string")), run, "doc_id long, print long")
 
 
 def planes(prints: np.ndarray) -> np.ndarray:
-    """64 x words: bit b of the fingerprint in lane i is bit i % 64 of planes[b, i // 64]. Padded with zeros."""
-    words = -(-len(prints) // 64)
-    padded = np.zeros(words * 64, np.uint64)
+    """Fingerprints (rows x words) to bit planes, 64 x words of them: bit b of the one in lane i is bit i % 64 of planes[b, i // 64]. Padded with zeros."""
+    lanes = -(-len(prints) // 64)
+    padded = np.zeros((lanes * 64, prints.shape[1]), np.uint64)
     padded[: len(prints)] = prints
-    bits = np.unpackbits(padded.view(np.uint8).reshape(-1, 8), axis=1, bitorder="little")
+    bits = np.unpackbits(padded.view(np.uint8), axis=1, bitorder="little")
     return np.packbits(np.ascontiguousarray(bits.T), axis=1, bitorder="little").view(np.uint64)
 
 
@@ -133,74 +102,79 @@ def _carry_save(a: np.ndarray, b: np.ndarray, c: np.ndarray) -> tuple[np.ndarray
 
 
 def near_lanes(left: np.ndarray, right: np.ndarray, valid: np.ndarray, radius: int) -> tuple[np.ndarray, np.ndarray]:
-    """Of two blocks of planes: the words that have lanes at a distance of radius (0 to 15) or less, and those lanes.
+    """Of two blocks of planes: the words that have lanes at a distance of radius or less, and those lanes.
 
     Eight planes at a time go through a tree of carry-save adders into vertical
-    counters of ones, twos, fours and eights, with a sticky lane for sixteen or more.
+    counters of ones, twos, fours, eights and so on, as many as the radius needs, with a sticky lane for what is past them.
     A word is abandoned once every lane of it is past the radius.
     """
     at = np.nonzero(valid)[0]
     live = valid[at]
     left, right = left[:, at], right[:, at]
-    ones = np.zeros(len(at), np.uint64)
-    twos, fours, eights, more = ones.copy(), ones.copy(), ones.copy(), ones.copy()
-    for plane in range(0, 64, 8):
+    counters = [np.zeros(len(at), np.uint64) for _ in range(max(4, radius.bit_length()))]
+    more = np.zeros(len(at), np.uint64)
+    for plane in range(0, len(left), 8):
         x = left[plane : plane + 8] ^ right[plane : plane + 8]
-        two_a, ones = _carry_save(ones, x[0], x[1])
+        two_a, ones = _carry_save(counters[0], x[0], x[1])
         two_b, ones = _carry_save(ones, x[2], x[3])
-        four_a, twos = _carry_save(twos, two_a, two_b)
+        four_a, twos = _carry_save(counters[1], two_a, two_b)
         two_a, ones = _carry_save(ones, x[4], x[5])
         two_b, ones = _carry_save(ones, x[6], x[7])
         four_b, twos = _carry_save(twos, two_a, two_b)
-        carry, fours = _carry_save(fours, four_a, four_b)
-        more |= eights & carry
-        eights ^= carry
+        carry, fours = _carry_save(counters[2], four_a, four_b)
+        counters[:3] = ones, twos, fours
+        for k in range(3, len(counters)):
+            carry, counters[k] = counters[k] & carry, counters[k] ^ carry
+        more |= carry
         if plane + 8 <= radius:
             continue
         past, equal = more.copy(), ~more
-        for counter, bit in ((eights, radius & 8), (fours, radius & 4), (twos, radius & 2), (ones, radius & 1)):
-            if bit:
-                equal &= counter
+        for k in reversed(range(len(counters))):
+            if radius >> k & 1:
+                equal &= counters[k]
             else:
-                past |= equal & counter
-                equal &= ~counter
+                past |= equal & counters[k]
+                equal &= ~counters[k]
         live &= ~past
         stay = np.nonzero(live)[0]
         if len(stay) == 0:
             return at[:0], live[:0]
-        if len(stay) * 2 <= len(at) or plane == 56:
-            at, live, ones, twos, fours, eights, more = (v[stay] for v in (at, live, ones, twos, fours, eights, more))
+        if len(stay) * 2 <= len(at) or plane + 8 == len(left):
+            at, live, more, *counters = (v[stay] for v in (at, live, more, *counters))
             left, right = left[:, stay], right[:, stay]
     return at, live
 
 
-def link_groups(group: np.ndarray, prints: np.ndarray, radius: int, wide: np.ndarray | None = None, total: int = 0) -> tuple[np.ndarray, np.ndarray]:
-    """Links that connect, within each group of equal ``group``, what chains of links connect.
+def link_groups(group: np.ndarray, prints: np.ndarray, radius: int, check: Callable[[np.ndarray, np.ndarray], np.ndarray] | None = None, root: np.ndarray | None = None) -> np.ndarray:
+    """For each row the first row that chains of links connect it to, within each group of equal ``group``.
 
-    Rows must be sorted by group. Every row is compared with the row k places
+    Rows (prints: rows x words) must be sorted by group. Every row is compared with the row k places
     further on, for all rows at once and k = 1, 2, ... up to the largest group;
     pairs that earlier links connect already are left out. Of the pairs within
-    the radius in ``prints`` those count that differ in at most ``total`` bits in all
-    of ``wide`` (rows x words), where it is given. Returns indices of linked rows, a spanning
-    forest: fewer links than rows.
+    the radius those are links for which ``check`` holds, where it is given. root: what is connected beforehand.
     """
     n = len(prints)
-    root = np.arange(n)
+    root = np.arange(n) if root is None else root.copy()
     if n < 2:
-        return root[:0], root[:0]
+        return root
     starts = np.nonzero(np.concatenate(([True], group[1:] != group[:-1])))[0]
+    size = np.diff(np.concatenate((starts, [n])))
+    further = np.repeat(starts + size, size) - np.arange(n)  # rows of the group from this one on
     block = planes(prints)
     words = block.shape[1]
-    padded = np.concatenate([block, np.zeros((64, 1), np.uint64)], axis=1)
-    for k in range(1, int(np.diff(np.concatenate((starts, [n]))).max())):
+    padded = np.concatenate([block, np.zeros((len(block), 1), np.uint64)], axis=1)
+    rows = np.arange(n)
+    for k in range(1, int(size.max())):
+        rows = rows[further[rows] > k]
+        open_rows = rows[root[rows] != root[rows + k]]
+        if not len(open_rows):
+            continue
         same = np.zeros(words * 64, np.uint8)
-        same[: n - k] = (group[k:] == group[:-k]) & (root[k:] != root[:-k])
+        same[open_rows] = 1
         valid = np.packbits(same, bitorder="little").view(np.uint64)
         some = np.nonzero(valid)[0]
-        if not len(some):
-            continue
         skip, shift = divmod(k, 64)
-        later = padded[:, some + skip] >> np.uint64(shift)
+        later = padded[:, np.minimum(some + skip, words)] >> np.uint64(shift)
         if shift:
             later |= padded[:, np.minimum(some + skip + 1, words)] << np.uint64(64 - shift)
         at, live = near_lanes(block[:, some], later, valid[some], radius)
@@ -209,10 +183,8 @@ def link_groups(group: np.ndarray, prints: np.ndarray, radius: int, wide: np.nda
         lanes = np.unpackbits(live.view(np.uint8).reshape(-1, 8), axis=1, bitorder="little")
         word, lane = np.nonzero(lanes)
         a = some[at[word]] * 64 + lane
-        if wide is not None:
-            a = a[np.bitwise_count(wide[a] ^ wide[a + k]).sum(axis=1, dtype=np.int64) <= total]
-            if len(a) == 0:
-                continue
+        if check is not None:
+            a = a[check(a, a + k)]
         for x, y in np.unique(np.stack([root[a], root[a + k]], axis=1), axis=0).tolist():
             while root[x] != x:
                 x = root[x]
@@ -221,43 +193,35 @@ def link_groups(group: np.ndarray, prints: np.ndarray, radius: int, wide: np.nda
             root[max(x, y)] = min(x, y)
         while (root[root] != root).any():
             root = root[root]
-    linked = np.nonzero(root != np.arange(n))[0]
-    return linked, root[linked]
-
-
-def _linker(rule: Rule, tables: int):
-    """Sorted rows (grp_table, grp_key, grp_pair, node, print0, ...) to links (a, b) of nodes. Holds a chunk and one group at most."""
-
-    def done(block: np.ndarray) -> pa.RecordBatch:
-        edge = np.concatenate(([0], np.cumsum((block[1:, :3] != block[:-1, :3]).any(axis=1))))
-        nodes, prints = block[:, 3], np.ascontiguousarray(block[:, 4:]).view(np.uint64)
-        own = prints[np.arange(len(prints)), block[:, 0] // tables]  # a table belongs to one of the words
-        a, b = link_groups(edge, own, rule.radius, prints if rule.words > 1 else None, rule.total)
-        return pa.RecordBatch.from_arrays([pa.array(nodes[a]), pa.array(nodes[b])], ["a", "b"])
-
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        held: list[np.ndarray] = []
-        rows = 0
-        for batch in batches:
-            held.append(np.stack([c.to_numpy(zero_copy_only=False).astype(np.int64) for c in batch.columns], axis=1))
-            rows += len(held[-1])
-            while rows >= CHUNK_ROWS:
-                block = np.concatenate(held)
-                new = np.nonzero((block[1:, :3] != block[:-1, :3]).any(axis=1))[0] + 1
-                cut = new[new <= CHUNK_ROWS]
-                cut = int(cut[-1]) if len(cut) else (int(new[0]) if len(new) else 0)
-                if not cut:
-                    held = [block]
-                    break
-                yield done(block[:cut])
-                held, rows = [block[cut:]], rows - cut
-        if rows:
-            yield done(np.concatenate(held))
-
-    return run
-
-
-def masks(n: int, radius: int = EXACT_CONTRACT.radius) -> list[int]:
+    return root
+
+
+def whole_groups(batches: Iterator[pa.RecordBatch], n_keys: int, n_columns: int) -> Iterator[tuple[np.ndarray, np.ndarray]]:
+    """Rows sorted by the first n_keys columns, all numbers: (number of the group, rows x columns), a chunk and one group at most at a time."""
+    held: list[np.ndarray] = []
+    rows = 0
+
+    def numbered(block: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        return np.concatenate(([0], np.cumsum((block[1:, :n_keys] != block[:-1, :n_keys]).any(axis=1)))), block
+
+    for batch in batches:
+        held.append(np.stack([c.to_numpy(zero_copy_only=False).astype(np.int64) for c in batch.columns[:n_columns]], axis=1))
+        rows += len(held[-1])
+        while rows >= CHUNK_ROWS:
+            block = np.concatenate(held)
+            new = np.nonzero((block[1:, :n_keys] != block[:-1, :n_keys]).any(axis=1))[0] + 1
+            cut = new[new <= CHUNK_ROWS]
+            cut = int(cut[-1]) if len(cut) else (int(new[0]) if len(new) else 0)
+            if not cut:
+                held = [block]
+                break
+            yield numbered(block[:cut])
+            held, rows = [block[cut:]], rows - cut
+    if rows:
+        yield numbered(np.concatenate(held))
+
+
+def masks(n: int, radius: int = RADIUS) -> list[int]:
     """Bit masks of which any two fingerprints within the radius agree on one.
 
     64 bits in m blocks: ``radius`` differing bits leave m - radius blocks untouched.
@@ -281,69 +245,65 @@ def _signed(x: int) -> Column:
     return F.lit(x - (1 << 64) if x >> 63 else x).cast("long")
 
 
-def links(prints: DataFrame, n: int, rule: Rule = EXACT_CONTRACT, group_rows: int = GROUP_ROWS) -> DataFrame:
-    """n distinct fingerprints (node, print0, ...) to links (a, b) of nodes that connect all that the rule links, by chains.
+def deal(keyed: DataFrame, by: list[str], group_rows: int = GROUP_ROWS) -> DataFrame:
+    """Rows (by, node, ...) with grp_pair, sent to tasks and sorted by groups of equal ``by`` and grp_pair.
 
-    Exact: no candidate is left out. Each fingerprint goes to one group for each mask
-    and word; a group of more than ``group_rows`` is split into parts, and each pair of
-    parts is a group of its own, so that no task compares more than twice that many.
+    A group of more than ``group_rows`` is split into parts by node, and each pair of
+    parts is a group of its own, so that no task compares more than about twice that many.
     """
-    names, own = _names(rule.words), masks(n, rule.radius)
-    keys = F.array(*[F.col(name).bitwiseAND(_signed(m)) for name in names for m in own])
-    keyed = prints.select("node", *names, F.posexplode(keys).alias("grp_table", "grp_key"))
-    large = prints.select(F.posexplode(keys).alias("grp_table", "grp_key")).groupBy("grp_table", "grp_key").count().where(F.col("count") > group_rows)
-    large = cut_lineage(large.select("grp_table", "grp_key", F.ceil(F.col("count") / group_rows * 1.25).cast("int").alias("parts")))
-    if not large.isEmpty():
-        part = F.pmod(F.xxhash64("node"), F.col("parts")).cast("int")
-        keyed = keyed.join(large, ["grp_table", "grp_key"], "left").withColumn("part", F.coalesce(part, F.lit(0))).withColumn("parts", F.coalesce("parts", F.lit(1)))
-        pairs = F.transform(F.sequence(F.lit(0), F.col("parts") - 1), lambda other: F.least("part", other) * F.col("parts") + F.greatest("part", other))
-        keyed = keyed.select("node", *names, "grp_table", "grp_key", F.explode(pairs).alias("grp_pair"))
-    else:
+    large = keyed.groupBy(*by).count().where(F.col("count") > group_rows)
+    large = cut_lineage(large.select(*by, F.ceil(F.col("count") / group_rows * 1.25).cast("int").alias("grp_parts")))
+    others = [c for c in keyed.columns if c not in by]
+    if large.isEmpty():
         keyed = keyed.withColumn("grp_pair", F.lit(0))
-    order = ["grp_table", "grp_key", "grp_pair"]
-    dealt = keyed.select(*order, "node", *names).repartition(*order).sortWithinPartitions(*order)
-    return map_arrow(dealt, _linker(rule, len(own)), "a long, b long")
+    else:
+        part = F.coalesce(F.pmod(F.xxhash64("node"), F.col("grp_parts")).cast("int"), F.lit(0))
+        keyed = keyed.join(large, by, "left").withColumn("grp_part", part).withColumn("grp_parts", F.coalesce("grp_parts", F.lit(1)))
+        pairs = F.transform(F.sequence(F.lit(0), F.col("grp_parts") - 1), lambda other: F.least("grp_part", other) * F.col("grp_parts") + F.greatest("grp_part", other))
+        keyed = keyed.withColumn("grp_pair", F.explode(pairs))
+    order = [*by, "grp_pair"]
+    return keyed.select(*order, *others).repartition(*order).sortWithinPartitions(*order, "node")
 
 
-def classes(docs: DataFrame, rule: Rule = EXACT_CONTRACT) -> DataFrame:
-    """docs (doc_id, text, ...) to (doc_id, print0, ..., component_id), one row for each row of docs.
+def links(prints: DataFrame, n: int, radius: int = RADIUS, group_rows: int = GROUP_ROWS) -> DataFrame:
+    """n distinct fingerprints (node, print) to links (a, b) of nodes that connect all within the radius, by chains.
 
-    component_id is the least doc_id of the component, itself included; a component
-    without any doc_id has null. Copies share a fingerprint and are compared once.
-    Null and blank texts have fingerprint 0 and are linked like any other. A
-    fingerprint of several words goes by a 64-bit hash of them.
+    Exact: no candidate is left out. Each fingerprint goes to one group for each mask.
     """
-    names = _names(rule.words)
-    prints = cut_lineage(fingerprints(docs, rule))
-    node = F.col(names[0]) if rule.words == 1 else F.xxhash64(*names)
-    distinct = prints.groupBy(*names).agg(F.min("doc_id").alias("least_id")).withColumn("node", node)
-    distinct = cut_lineage(distinct)
-    found = components(links(distinct.select("node", *names), distinct.count(), rule)).withColumnRenamed("node", "_node")
-    linked = distinct.join(found, distinct["node"] == found["_node"]).drop("_node").withColumn("salt", F.pmod("node", F.lit(SALTS)).cast("int"))
-    # A component may have most of the fingerprints: they meet its least id in SALTS tasks.
-    ids = linked.groupBy("root").agg(F.min("least_id").alias("component_id")).withColumn("salt", F.explode(F.sequence(F.lit(0), F.lit(SALTS - 1))))
-    alone = distinct.join(found, distinct["node"] == found["_node"], "left_anti").select(*names, F.col("least_id").alias("component_id"))
-    by_print = cut_lineage(linked.join(ids, ["root", "salt"]).select(*names, "component_id").union(alone))
-    return prints.join(by_print, names).select("doc_id", *names, "component_id")
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for group, block in whole_groups(batches, 3, 5):
+            nodes, root = block[:, 3], link_groups(group, np.ascontiguousarray(block[:, 4:]).view(np.uint64), radius)
+            linked = np.nonzero(root != np.arange(len(root)))[0]
+            yield pa.RecordBatch.from_arrays([pa.array(nodes[linked]), pa.array(nodes[root[linked]])], ["a", "b"])
+
+    keys = F.array(*[F.col("print").bitwiseAND(_signed(m)) for m in masks(n, radius)])
+    keyed = prints.select("node", "print", F.posexplode(keys).alias("grp_table", "grp_key"))
+    return map_arrow(deal(keyed, ["grp_table", "grp_key"], group_rows), run, "a long, b long")
 
 
-def near_dedup(docs: DataFrame, rule: Rule = SIMILAR) -> DataFrame:
-    """The rows of docs of which none with a smaller id is in the same component; a repeated row stays once.
+def classes(docs: DataFrame, shingle: int = SHINGLE, radius: int = RADIUS) -> DataFrame:
+    """docs (doc_id, text, ...) to (doc_id, print, component_id), one row for each row of docs.
 
-    Rows without an id cannot be a component's first document and all stay.
+    component_id is the least doc_id of the component, itself included; a component
+    without any doc_id has null. Copies share a fingerprint and are compared once.
+    Null and blank texts have fingerprint 0 and are linked like any other.
     """
-    found = cut_lineage(classes(docs, rule).where(F.col("doc_id") == F.col("component_id")).groupBy("doc_id").count())
-    kept = docs.where(F.col("doc_id").isNotNull())
-    kept = kept.join(found.select("doc_id"), "doc_id", "left_semi").select(*docs.columns)
-    if not found.where(F.col("count") > 1).isEmpty():
-        kept = kept.dropDuplicates(["doc_id"])
-    return kept.union(docs.where(F.col("doc_id").isNull()))
+    prints = cut_lineage(fingerprints(docs, shingle))
+    distinct = cut_lineage(prints.groupBy("print").agg(F.min("doc_id").alias("least_id")))
+    found = components(links(distinct.select(F.col("print").alias("node"), "print"), distinct.count(), radius))
+    linked = distinct.join(found, distinct["print"] == found["node"]).drop("node").withColumn("salt", F.pmod("print", F.lit(SALTS)).cast("int"))
+    # A component may have most of the fingerprints: they meet its least id in SALTS tasks.
+    ids = linked.groupBy("root").agg(F.min("least_id").alias("component_id")).withColumn("salt", F.explode(F.sequence(F.lit(0), F.lit(SALTS - 1))))
+    alone = distinct.join(found, distinct["print"] == found["node"], "left_anti").select("print", F.col("least_id").alias("component_id"))
+    by_print = cut_lineage(linked.join(ids, ["root", "salt"]).select("print", "component_id").union(alone))
+    return prints.join(by_print, "print").select("doc_id", "print", "component_id")
 
 
 def op4_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Fingerprint and component of every document. Extra columns are not read."""
     out = classes(read_table(spark, sf_dir, "documents"))
-    return out.select("doc_id", F.lpad(F.lower(F.hex("print0")), 16, "0").alias("fingerprint"), "component_id")
+    return out.select("doc_id", F.lpad(F.lower(F.hex("print")), 16, "0").alias("fingerprint"), "component_id")
 
 
 QUERIES = {"op4_simhash": op4_simhash}

@@ -1,8 +1,11 @@
-"""Near-duplicates by the exact Jaccard coefficient of word shingles.
-
-MinHash keys only name candidates: texts that share a key are compared, by their sets of
-shingle hashes, and linked at the wanted coefficient or more, and at no less. A pair at a
-coefficient of 0.8 has no key in common with a probability of (1 - 0.8 ** ROWS) ** BANDS, 3e-6.
+"""Near-duplicates: SimHash comparison in groups, then the exact Jaccard coefficient of five-word shingles.
+
+SimHashes of all the shingles a text has tell how alike two texts are, but at a coefficient of 0.8
+fingerprints differ in so many bits that no few keys of bits bring such texts together. So texts meet
+by keys of least hashes (MinHash), and within each group of a key their SimHashes, ``WORDS`` words of 64 bits,
+are compared bit-sliced (``simhash.link_groups``). What is within ``RADIUS`` bits is a candidate; a link
+is what has the wanted coefficient or more by the exact sets. A pair at 0.8 shares none of the keys
+with a probability of (1 - 0.8 ** ROWS) ** BANDS, 0.2 %, and its expected distance is four standard deviations under the radius.
 """
 
 from __future__ import annotations
@@ -14,17 +17,23 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from framewright.llm.common import cut_lineage, map_arrow
-from framewright.llm.components import SALTS, components
-from framewright.llm.simhash import shingle_hashes
+from framewright.llm.common import cut_lineage, map_arrow, small, text_blocks
+from framewright.llm.components import components
+from framewright.llm.simhash import deal, fingerprint_of, link_groups, shingle_hashes, whole_groups
 
 SHINGLE, SIMILARITY = 5, 0.8
 #: Keys of a text, and least hashes that make up each of them.
-BANDS, ROWS = 32, 5
+BANDS, ROWS = 20, 6
+#: Of 64 WORDS bits 38.8 differ at a coefficient of 0.8 (sets of one size), with a standard deviation of 5.7.
+WORDS, RADIUS = 4, 64
+#: Rows that are sent to all executors at most, 24 bytes each; more are joined by an exchange.
+BROADCAST_ROWS = 500_000
+BLOCK_BYTES = 4_000_000
 _RANDOM = np.random.default_rng(42)
 _FACTORS = _RANDOM.integers(0, 1 << 31, (BANDS * ROWS, 1), dtype=np.uint32) * np.uint32(2) + np.uint32(1)
 _MIX = _RANDOM.integers(0, 1 << 63, (BANDS, ROWS), dtype=np.uint64) * np.uint64(2) + np.uint64(1)
 _BAND = _RANDOM.integers(0, 1 << 63, BANDS, dtype=np.uint64)
+_PRINTS = [f"print{k}" for k in range(WORDS)]
 
 
 def shingle_set(text: str | None) -> np.ndarray:
@@ -41,109 +50,161 @@ def minhash_keys(hashes: np.ndarray) -> np.ndarray:
     return (least.reshape(BANDS, ROWS).astype(np.uint64) * _MIX).sum(axis=1, dtype=np.uint64) ^ _BAND
 
 
-def _text_key(text: Column) -> Column:
-    return F.xxhash64(F.coalesce(text.cast("string"), F.lit("")))
+def similar(a: np.ndarray, b: np.ndarray, similarity: float) -> bool:
+    """Whether two sets of hashes, without repeats, have this Jaccard coefficient or more. Empty sets are alike."""
+    if min(len(a), len(b)) < similarity * max(len(a), len(b)) - 1e-9:
+        return False
+    both = np.sort(np.concatenate([a, b]))
+    common = int((both[1:] == both[:-1]).sum())
+    return common >= similarity * (len(both) - common) - 1e-9
+
 
+def _list_array(parts: list[np.ndarray], kind: np.dtype) -> pa.ListArray:
+    offsets = np.concatenate(([0], np.cumsum([len(p) for p in parts]))).astype(np.int32)
+    return pa.ListArray.from_arrays(offsets, pa.array(np.concatenate([np.zeros(0, kind), *parts])))
 
-def _keys(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    for batch in batches:
-        sizes, keys = [], []
-        for text in batch.column(2):
+
+def _sketches(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """(doc_id, h1, h2, text) to (doc_id, h1, h2, keys, print0, ...)."""
+    for batch in text_blocks(batches, 3, BLOCK_BYTES):
+        keys, prints = [], np.zeros((batch.num_rows, WORDS), np.uint64)
+        for k, text in enumerate(batch.column(3)):
             own = shingle_set(text.as_py())
-            sizes.append(len(own))
-            keys.append(minhash_keys(own))
-        flat = pa.array(np.array(keys, np.uint64).reshape(-1).view(np.int64))
-        offsets = pa.array(np.arange(len(keys) + 1, dtype=np.int32) * BANDS)
-        yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(1), pa.array(sizes, pa.int32()), pa.ListArray.from_arrays(offsets, flat)], ["doc_id", "node", "n", "keys"])
+            keys.append(minhash_keys(own).view(np.int64))
+            prints[k] = fingerprint_of(own, WORDS)
+        columns = [pa.array(np.ascontiguousarray(prints[:, k]).view(np.int64)) for k in range(WORDS)]
+        yield pa.RecordBatch.from_arrays([*batch.columns[:3], _list_array(keys, np.dtype(np.int64)), *columns], ["doc_id", "h1", "h2", "keys", *_PRINTS])
 
 
 def _sets(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    for batch in batches:
-        for start in range(0, batch.num_rows, 256):
-            part = batch.slice(start, 256)
-            own = [shingle_set(t.as_py()).view(np.int64) for t in part.column(1)]
-            offsets = pa.array(np.concatenate(([0], np.cumsum([len(o) for o in own]))).astype(np.int32))
-            yield pa.RecordBatch.from_arrays([part.column(0), pa.ListArray.from_arrays(offsets, pa.array(np.concatenate(own)))], ["node", "hashes"])
-
-
-def _verified(pairs: DataFrame, docs: DataFrame, similarity: float) -> DataFrame:
-    """The pairs (a, b) of nodes whose texts' shingle sets have this Jaccard coefficient or more."""
-    nodes = pairs.select(F.explode(F.array("a", "b")).alias("node")).distinct()
-    texts = docs.select(_text_key(F.col("text")).alias("node"), F.col("text").cast("string").alias("text")).join(nodes, "node", "left_semi").groupBy("node").agg(F.first("text").alias("text"))
-    sets = cut_lineage(map_arrow(texts, _sets, "node long, hashes array<long>"))
-    both = pairs.join(sets.select(F.col("node").alias("a"), F.col("hashes").alias("ha")), "a").join(sets.select(F.col("node").alias("b"), F.col("hashes").alias("hb")), "b")
-    # A generator's value is not computed again in the filter on it.
-    both = both.select("a", "b", (F.size("ha") + F.size("hb")).alias("n"), F.explode(F.array(F.size(F.array_intersect("ha", "hb")))).alias("common"))
-    return both.where((F.col("n") == 0) | (F.col("common") / (F.col("n") - F.col("common")) >= similarity)).select("a", "b")
+    """(node, text) to (node, hashes): the upper halves of the shingles' hashes."""
+    for batch in text_blocks(batches, 1, BLOCK_BYTES):
+        own = [np.unique((shingle_set(t.as_py()) >> np.uint64(32)).astype(np.uint32)).view(np.int32) for t in batch.column(1)]
+        yield pa.RecordBatch.from_arrays([batch.column(0), _list_array(own, np.dtype(np.int32))], ["node", "hashes"])
+
+
+def _meetings(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Sorted (key, grp_pair, node, print0, ...) to (key, grp_pair, root, node, print0, ...) of those with another within the radius, by chains; the root is the least of them."""
+    for group, block in whole_groups(batches, 2, 3 + WORDS):
+        root = link_groups(group, np.ascontiguousarray(block[:, 3:]).view(np.uint64), RADIUS)
+        some = np.bincount(root, minlength=len(root))[root] > 1
+        columns = [block[some, 0], block[some, 1], block[root[some], 2], *block[some, 2:].T]
+        yield pa.RecordBatch.from_arrays([pa.array(np.ascontiguousarray(c)) for c in columns], ["key", "grp_pair", "root", "node", *_PRINTS])
+
+
+def _verifier(similarity: float):
+    """Sorted (key, grp_pair, root, node, known, print0, ..., hashes) to links (a, b), verified. known: linked to the root already."""
 
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        n = 5 + WORDS
+        sets: list[np.ndarray] = []
 
-def _sized(similarity: float) -> Column:
-    """Sets of other sizes cannot reach the coefficient."""
-    return F.least("n", "m") >= F.greatest("n", "m") * (similarity - 1e-9)
+        def numbers() -> Iterator[pa.RecordBatch]:
+            for batch in batches:
+                sets.extend(own.values.to_numpy() for own in batch.column(n))
+                yield batch
 
+        for group, block in whole_groups(numbers(), 3, n):
+            held = sets[: len(block)]
+            del sets[: len(block)]
+            first = np.concatenate(([0], np.nonzero(np.diff(group))[0] + 1))[group]
+            before = np.where(block[:, 4] > 0, first, np.arange(len(block)))
 
-def similar_links(distinct: DataFrame, docs: DataFrame, similarity: float = SIMILARITY) -> DataFrame:
-    """distinct (node, n, keys) to (node, root), by chains of texts that are similar.
+            def check(a: np.ndarray, b: np.ndarray, held=held) -> np.ndarray:
+                return np.array([similar(held[i], held[j], similarity) for i, j in zip(a.tolist(), b.tolist(), strict=True)], bool)
 
-    First each text is compared with the least one of each of its keys; then those that share a key
-    and are not yet connected, with each other. So a large group of near copies does not make all its pairs.
+            root = link_groups(group, np.ascontiguousarray(block[:, 5:]).view(np.uint64), RADIUS, check, before)
+            linked = np.nonzero(root != np.arange(len(root)))[0]
+            yield pa.RecordBatch.from_arrays([pa.array(block[linked, 3]), pa.array(block[root[linked], 3])], ["a", "b"])
+
+    return run
+
+
+def _named(docs: DataFrame) -> DataFrame:
+    """docs with a 128-bit hash of the text, by which equal texts are known; null is like empty."""
+    text = F.coalesce(F.col("text").cast("string"), F.lit(""))
+    return docs.withColumns({"_h1": F.xxhash64(text), "_h2": F.xxhash64(F.lit(7), text)})
+
+
+def similar_links(distinct: DataFrame, named: DataFrame, similarity: float = SIMILARITY) -> DataFrame:
+    """distinct (node, _h1, _h2, keys, print0, ...) of named (_h1, _h2, text) to verified links (a, b) that connect what is similar, by chains.
+
+    First each text that meets others is compared with the least one of them, which is enough for groups of
+    copies of one text. Groups in which that leaves a text alone go, with the sets, to tasks that compare all
+    within the radius, but for those that are connected by then. So a large group of near copies does not make all its pairs.
     """
-    keyed = distinct.select("node", "n", F.explode("keys").alias("key"))
-    several = keyed.groupBy("key").agg(F.min(F.struct("node", "n")).alias("least"), F.count("*").alias("rows")).where(F.col("rows") > 1)
-    shared = cut_lineage(keyed.join(several.select("key", "least"), "key"))
-    first = shared.select(F.col("least.node").alias("a"), F.col("node").alias("b"), "n", F.col("least.n").alias("m")).where((F.col("a") != F.col("b")) & _sized(similarity))
-    first = cut_lineage(first.select("a", "b").distinct())
-    links = cut_lineage(_verified(first, docs, similarity))
-    roots = components(links)
-    members = shared.select("key", "node", "n").join(roots, "node", "left").withColumn("root", F.coalesce("root", "node"))
-    open_keys = members.groupBy("key").agg(F.min("root").alias("low"), F.max("root").alias("high")).where(F.col("low") != F.col("high")).select("key")
-    members = cut_lineage(members.join(open_keys, "key", "left_semi"))
-    left = members.select("key", F.col("node").alias("a"), "n", F.col("root").alias("root_a"))
-    right = members.select("key", F.col("node").alias("b"), F.col("n").alias("m"), F.col("root").alias("root_b"))
-    rest = left.join(right, "key").where((F.col("a") < F.col("b")) & (F.col("root_a") != F.col("root_b")) & _sized(similarity)).select("a", "b").distinct()
-    rest = cut_lineage(rest.join(first, ["a", "b"], "left_anti"))
-    if rest.isEmpty():
-        return roots
-    return components(links.union(_verified(rest, docs, similarity)))
+    keyed = distinct.select(F.explode("keys").alias("key"), "node", *_PRINTS)
+    columns = "key long, grp_pair long, root long, node long, " + ", ".join(f"{p} long" for p in _PRINTS)
+    met = cut_lineage(map_arrow(deal(keyed, ["key"]), _meetings, columns))
+    nodes = cut_lineage(met.select("node").distinct().join(distinct.select("node", "_h1", "_h2"), "node"))
+    wanted = small(nodes.withColumnsRenamed({"_h1": "_a", "_h2": "_b"}), nodes.count(), BROADCAST_ROWS)
+    texts = named.join(wanted, (F.col("_h1") == F.col("_a")) & (F.col("_h2") == F.col("_b"))).groupBy("node").agg(F.first(F.col("text").cast("string")).alias("text"))
+    sets = cut_lineage(map_arrow(texts.select("node", "text"), _sets, "node long, hashes array<int>"))
+    pairs = met.where(F.col("root") != F.col("node")).select("root", "node").distinct()
+    both = pairs.join(sets, "node").join(sets.select(F.col("node").alias("root"), F.col("hashes").alias("others")), "root")
+    # A generator's value is not computed again in the filter on it.
+    both = both.select("root", "node", (F.size("hashes") + F.size("others")).alias("n"), F.explode(F.array(F.size(F.array_intersect("hashes", "others")))).alias("common"))
+    linked = cut_lineage(both.where(F.col("common") >= (F.col("n") - F.col("common")) * similarity - 1e-9).select("root", "node"))
+    known = met.join(linked.withColumn("known", F.lit(1)), ["root", "node"], "left").withColumn("known", F.when(F.col("root") == F.col("node"), 1).otherwise(F.coalesce("known", F.lit(0))))
+    group = ["key", "grp_pair", "root"]
+    open_groups = known.groupBy(*group).agg(F.min("known").alias("closed")).where(F.col("closed") == 0).select(*group)
+    left = known.join(open_groups, group, "left_semi").join(sets, "node").select(*group, "node", F.col("known").cast("long"), *_PRINTS, "hashes")
+    more = map_arrow(left.repartition(*group).sortWithinPartitions(*group, "node"), _verifier(similarity), "a long, b long")
+    return cut_lineage(linked.select(F.col("node").alias("a"), F.col("root").alias("b")).union(more))
 
 
 def _rooted(docs: DataFrame, similarity: float) -> tuple[DataFrame, DataFrame]:
     """A row (doc_id, node) for each of docs, and (node, root) for the nodes that are linked to another."""
-    found = cut_lineage(map_arrow(docs.select(F.col("doc_id").cast("long"), _text_key(F.col("text")).alias("node"), F.col("text").cast("string")), _keys, "doc_id long, node long, n int, keys array<long>"))
-    distinct = cut_lineage(found.groupBy("node").agg(F.first("n").alias("n"), F.first("keys").alias("keys")))
-    return found.select("doc_id", "node"), similar_links(distinct, docs, similarity)
+    named = _named(docs.select(F.col("doc_id").cast("long"), "text"))
+    own = named.select("doc_id", "_h1", "_h2", F.col("text").cast("string"))
+    columns = "doc_id long, _h1 long, _h2 long, keys array<long>, " + ", ".join(f"{p} long" for p in _PRINTS)
+    found = cut_lineage(map_arrow(own, _sketches, columns))
+    firsts = [F.first(c).alias(c) for c in ["keys", *_PRINTS]]
+    distinct = cut_lineage(found.groupBy("_h1", "_h2").agg(*firsts).withColumn("node", F.monotonically_increasing_id()))
+    roots = components(similar_links(distinct, named, similarity))
+    rows = found.select("doc_id", "_h1", "_h2").join(distinct.select("node", "_h1", "_h2"), ["_h1", "_h2"])
+    return rows, roots
 
 
 def classes(docs: DataFrame, similarity: float = SIMILARITY) -> DataFrame:
     """docs (doc_id, text, ...) to (doc_id, node, component_id), one row for each row of docs.
 
-    node is a 64-bit hash of the text; component_id is the least doc_id of the component,
+    node numbers the distinct texts; component_id is the least doc_id of the component,
     null if none has one. Null and blank texts are copies of each other.
     """
-    found, roots = _rooted(docs, similarity)
-    distinct = cut_lineage(found.groupBy("node").agg(F.min("doc_id").alias("least_id")))
-    linked = distinct.join(roots, "node").withColumn("salt", F.pmod("node", F.lit(SALTS)).cast("int"))
-    # A component may have most of the texts: they meet its least id in SALTS tasks.
-    ids = linked.groupBy("root").agg(F.min("least_id").alias("component_id")).withColumn("salt", F.explode(F.sequence(F.lit(0), F.lit(SALTS - 1))))
-    alone = distinct.join(roots, "node", "left_anti").select("node", F.col("least_id").alias("component_id"))
-    by_node = cut_lineage(linked.join(ids, ["root", "salt"]).select("node", "component_id").union(alone))
-    return found.join(by_node, "node").select("doc_id", "node", "component_id")
+    rows, roots = _rooted(docs, similarity)
+    rooted = cut_lineage(rows.join(roots, "node", "left").select("doc_id", "node", F.coalesce("root", "node").alias("root")))
+    ids = rooted.groupBy("root").agg(F.min("doc_id").alias("component_id"))
+    return rooted.join(ids, "root").select("doc_id", "node", "component_id")
 
 
 def near_dedup(docs: DataFrame, similarity: float = SIMILARITY) -> DataFrame:
     """One row of docs for each component: the first by doc_id (those without one come last), then by the text's hash.
 
     What counts is the row, an id and a text: other rows of the same id go by their own components.
-    Rows that are equal in both stay once.
+    Rows that are equal in both stay once. Columns of docs keep their values, whatever their names.
     """
     rows, roots = _rooted(docs, similarity)
-    # A row's place in its component; minima are taken before the exchange.
-    order = F.struct(F.col("doc_id").isNull().alias("no_id"), "doc_id", "node")
-    firsts = rows.join(roots, "node", "left").groupBy(F.coalesce("root", "node").alias("root")).agg(F.min(order).alias("first"))
-    firsts = firsts.select(F.col("first.doc_id").alias("_first_id"), F.col("first.node").alias("_first_node"))
-    firsts = cut_lineage(rows.join(firsts, rows["doc_id"].eqNullSafe(F.col("_first_id")) & (rows["node"] == F.col("_first_node"))).groupBy("_first_id", "_first_node").count())
-    keyed = docs.withColumn("_own_node", _text_key(F.col("text")))
-    kept = keyed.join(firsts, F.col("doc_id").cast("long").eqNullSafe(F.col("_first_id")) & (F.col("_own_node") == F.col("_first_node")), "left_semi")
-    if not firsts.where(F.col("count") > 1).isEmpty():
-        kept = kept.dropDuplicates(["doc_id", "_own_node"])
-    return kept.select(*docs.columns)
+    rooted = cut_lineage(rows.join(roots, "node", "left").select("doc_id", "_h1", "_h2", F.coalesce("root", "node").alias("root")))
+    # Minima are taken before the exchange.
+    order = F.struct(F.col("doc_id").isNull().alias("no_id"), "doc_id", "_h1", "_h2")
+    firsts = rooted.groupBy("root").agg(F.min(order).alias("first"))
+    row = ["doc_id", "_h1", "_h2"]
+    firsts = cut_lineage(firsts.select(*[F.col(f"first.{c}").alias(c) for c in row]))
+    same = lambda a, b: a["doc_id"].eqNullSafe(b["doc_id"]) & (a["_h1"] == b["_h1"]) & (a["_h2"] == b["_h2"])
+    counted = rooted.groupBy(*row).count()
+    # Rows that go, and rows that are there more than once: mostly far fewer than those that stay.
+    a, b = counted.alias("a"), firsts.withColumn("stays", F.lit(True)).alias("b")
+    marked = a.join(b, F.col("a.doc_id").eqNullSafe(F.col("b.doc_id")) & (F.col("a._h1") == F.col("b._h1")) & (F.col("a._h2") == F.col("b._h2")), "left")
+    marked = marked.select(F.col("a.doc_id").alias("doc_id"), F.col("a._h1").alias("_h1"), F.col("a._h2").alias("_h2"), F.col("a.count").alias("n"), F.coalesce(F.col("b.stays"), F.lit(False)).alias("stays"))
+    marked = cut_lineage(marked.where(~F.col("stays") | (F.col("n") > 1)))
+    n = marked.agg(F.count("*").alias("rows"), F.coalesce(F.sum((F.col("stays") & (F.col("n") > 1)).cast("long")), F.lit(0)).alias("repeated")).first()
+    text = F.coalesce(F.col("_row.text").cast("string"), F.lit(""))
+    held = docs.select(F.struct(*docs.columns).alias("_row")).withColumns({"doc_id": F.col("_row.doc_id").cast("long"), "_h1": F.xxhash64(text), "_h2": F.xxhash64(F.lit(7), text)})
+    marks = small(marked.select(*row), n["rows"], BROADCAST_ROWS)
+    kept = held.join(marks, same(held, marks), "left_anti").select("_row")
+    if n["repeated"]:
+        repeated = marked.where("stays").select(*row)
+        once = held.join(small(repeated, n["repeated"], BROADCAST_ROWS), same(held, repeated), "left_semi").dropDuplicates(row).select("_row")
+        kept = kept.union(once)
+    return kept.select("_row.*")

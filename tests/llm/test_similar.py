@@ -4,7 +4,9 @@ import random
 
 import corpus_pipeline
 import numpy as np
+import pytest
 from framewright.llm import similar
+from framewright.llm.simhash import fingerprint_of
 from tests.llm.data import SCHEMA, documents
 from tests.llm.test_simhash import _roots
 
@@ -84,3 +86,46 @@ def test_rows_decide_not_ids(spark):
     got = similar.near_dedup(spark.createDataFrame([(*r, None) for r in rows], "doc_id long, text string, lang string")).collect()
     assert [r["text"] for r in got if r["doc_id"] is None] in ([b[0]], [b[1]])
     assert sorted([(r["doc_id"], r["text"]) for r in got if r["doc_id"] is not None], key=str) == sorted([(2, a[0]), (5, c[0]), (1, d[1]), (2, None)], key=str)
+
+
+def test_pairs_at_the_similarity_are_within_the_radius():
+    """Short texts too, of which a single shingle is a large part: they end in other words."""
+    near = total = 0
+    for n in (9, 10, 16, 30, 60, 400, 2000):
+        for seed in range(60):
+            words = [f"w{seed}-{k}" for k in range(n)]
+            a, b = (similar.shingle_set(" ".join(words[:k])) for k in (n, n - int((n - 4) * 0.2)))
+            assert similar.similar(a, b, 0.8)
+            total += 1
+            near += int(np.bitwise_count(fingerprint_of(a, similar.WORDS) ^ fingerprint_of(b, similar.WORDS)).sum()) <= similar.RADIUS
+    assert near >= 0.99 * total
+
+
+@pytest.mark.parametrize("similarity,least", [(0.81, 0.9), (0.85, 0.97), (0.9, 1.0)])
+def test_recall_at_the_similarity(spark, similarity, least):
+    rows, want = [], set()
+    for seed in range(100):
+        texts = _copies(seed, [similarity], 300)
+        rows += [(2 * seed + k, t) for k, t in enumerate(texts)]
+        if _jaccard(*map(_shingles, texts)) >= 0.8:
+            want.add(2 * seed + 1)
+    kept = {r["doc_id"] for r in similar.near_dedup(spark.createDataFrame(rows, "doc_id long, text string")).collect()}
+    assert len(want) >= 60 and len(want - kept) >= least * len(want) and all(i in kept for i, _ in rows if i not in want)
+
+
+def test_a_group_that_is_split_loses_no_link(spark, monkeypatch):
+    monkeypatch.setattr(similar.deal, "__defaults__", (16,))
+    texts = _copies(3, [0.86] * 60, 300)
+    rows = list(enumerate(texts))
+    got = {r["doc_id"]: r["component_id"] for r in similar.classes(spark.createDataFrame(rows, "doc_id long, text string")).collect()}
+    assert got == _brute(rows)
+
+
+def test_rows_are_joined_alike_without_broadcasts(spark, monkeypatch):
+    rows = [r for r in documents(9, 80) if r[0] is not None]
+    docs = spark.createDataFrame(rows, SCHEMA)
+    want = sorted(map(str, similar.near_dedup(docs).collect()))
+    monkeypatch.setattr(similar, "BROADCAST_ROWS", 0)
+    assert sorted(map(str, similar.near_dedup(docs).collect())) == want
+    assert similar.near_dedup(docs).columns == docs.columns
+    assert similar.near_dedup(docs.limit(0)).count() == 0
