@@ -59,6 +59,19 @@ def stem(path: Column) -> Column:
     return strip_extension(basename(path))
 
 
+def absolute_path(path: Column, folder: str) -> Column:
+    """The path, from ``folder`` on if it does not start with a slash, without ``.``, ``..`` and needless slashes. Null stays null.
+
+    Two slashes at the start stay, as POSIX has it; three or more are one.
+    """
+    full = F.when(F.startswith(path, F.lit("/")), path).otherwise(F.concat(F.lit(folder.rstrip("/") + "/"), path))
+    parts = F.filter(F.split(full, "/"), lambda x: (x != "") & (x != "."))
+    empty = F.array().cast("array<string>")
+    kept = F.aggregate(parts, empty, lambda acc, x: F.when(x != "..", F.concat(acc, F.array(x))).otherwise(F.slice(acc, F.lit(1), F.greatest(F.size(acc) - 1, F.lit(0)))))
+    lead = F.when(full.rlike("^//([^/]|$)"), F.lit("//")).otherwise(F.lit("/"))
+    return F.when(path.isNotNull(), F.concat(lead, F.array_join(kept, "/")))
+
+
 def under_root(path: Column, root: Column) -> Column:
     """Whether the path lies below root; ``/repo2/x`` is not below ``/repo``, and no character is a wildcard."""
     return F.startswith(path, F.concat(root, F.lit("/")))
@@ -84,14 +97,6 @@ def size_strict(text: Column) -> Column:
     return F.when(number(1).isNotNull() & number(2).isNotNull(), F.struct(number(1).alias("width"), number(2).alias("height")))
 
 
-def one_of(value: Column, known: dict[str, str], default: str) -> Column:
-    """The value's meaning, or the default's where it is not known or null."""
-    out = F.lit(default)
-    for name, meaning in known.items():
-        out = F.when(value == name, F.lit(meaning)).otherwise(out)
-    return out
-
-
 def frame_name(index: Column) -> Column:
     """``000007.jpg``: six digits, more where needed."""
     return F.format_string("%06d.jpg", index.cast("long"))

@@ -73,6 +73,12 @@ def validate_output(artifacts: DataFrame, requested: str = "requested_size") ->
     return artifacts.withColumn("reason", reason)
 
 
+def video_report(artifacts: DataFrame) -> DataFrame:
+    """artifacts (path, frame_count, width, height, ...) that are usable, with ``report``: how many frames, of which size."""
+    usable = validate_output(artifacts).where(F.col("reason").isNull()).drop("reason")
+    return usable.withColumn("report", F.format_string("%s: %d frames, %dx%d", "path", F.col("frame_count").cast("long"), "width", "height"))
+
+
 def pending(required: DataFrame, present: DataFrame, on: list[str]) -> DataFrame:
     """Stages that have no valid artifact; a null key never has one."""
     return required.join(present, on, "left_anti")

@@ -6,6 +6,8 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from framewright.functions.text import absolute_path
+
 # Keys, defaults and which keys have a one-letter form (marked by a leading _).
 MODEL_PARAMS = {"sh_degree": 3, "_source_path": "", "_model_path": "", "_images": "images", "_depths": "", "_resolution": -1, "_white_background": False, "dynamic_memory": False, "train_test_exp": False, "data_device": "cuda", "eval": False, "skip_interval": 1}
 PIPELINE_PARAMS = {"convert_SHs_python": False, "compute_cov3D_python": False, "debug": False, "antialiasing": False}
@@ -66,9 +68,15 @@ def param_rows(spark: SparkSession, groups: dict[str, dict[str, object]] | None
     return spark.createDataFrame(rows, SCHEMA)
 
 
-def extract(values: DataFrame, params: DataFrame, grp: str) -> DataFrame:
-    """The values (key, value) whose keys the group declares."""
-    return values.join(params.where(F.col("grp") == grp).select("key"), "key", "left_semi")
+def extract(values: DataFrame, params: DataFrame, grp: str, folder: str | None = None) -> DataFrame:
+    """The values (key, value) whose keys the group declares.
+
+    With ``folder``, the working folder, the group ``model`` gets its ``source_path`` absolute; an empty one is the folder itself.
+    """
+    own = values.join(params.where(F.col("grp") == grp).select("key"), "key", "left_semi")
+    if grp != "model" or folder is None:
+        return own
+    return own.withColumn("value", F.when(F.col("key") == "source_path", absolute_path(F.col("value"), folder)).otherwise(F.col("value")))
 
 
 def resolve_switches(params: DataFrame, given: DataFrame) -> DataFrame:

@@ -8,7 +8,7 @@ from dataclasses import dataclass
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from framewright.functions.text import default_if_empty
+from framewright.functions.text import absolute_path, default_if_empty
 from framewright.operators.gates import capture_paths
 
 # What holds where a run gives nothing.
@@ -21,8 +21,13 @@ def with_defaults(runs: DataFrame) -> DataFrame:
     return runs.withColumns({k: default_if_empty(F.col(k), v) for k, v in DEFAULTS.items()})
 
 
-def planned_runs(runs: DataFrame, root: str) -> DataFrame:
-    """runs (run_id, path, parameters) with the paths that each stage reads and writes; ``reason`` where a run cannot start."""
+def planned_runs(runs: DataFrame, root: str, folder: str | None = None) -> DataFrame:
+    """runs (run_id, path, parameters) with the paths that each stage reads and writes; ``reason`` where a run cannot start.
+
+    With ``folder``, the working folder, paths are made absolute before they are compared with root.
+    """
+    if folder is not None:
+        runs = runs.withColumn("path", absolute_path(F.col("path"), folder))
     return with_defaults(runs).withColumns(capture_paths(F.col("path"), F.lit(root)))
 
 

@@ -34,6 +34,7 @@ def _values(columns: str, rows: list[tuple]) -> str:
 
 
 FPS, RATE, STEP = 25.0, 2.0, 3
+URL_ROOT = "https:/"
 FRAME_LIST = "20-50-30-20"
 TOKENS = _values(
     "run_id, pos, tok",
@@ -77,7 +78,12 @@ REQUIRED = _values("run_id, stage", [(r, s) for r in (1, 2, 3, 4, 5) for s in ("
 REQUESTS = _values("run_id, n_inputs, output, sequence_dir, n_args", [(1, 2, "o", "", 1), (2, 0, "o", "", 0), (3, 1, "", "", 2), (4, 1, "", "d", 1), (5, 1, None, None, 1), (6, 0, "", "", 0)])
 RUNS = _values("run_id, path, frame_rate, output_size, iterations, resolution", [(1, "/repo/data/v.insv", "", None, "7000", "2"), (2, "/elsewhere/v.insv", "4", "1920x960", "", None), (3, "/repo/a/b.c.lrv", None, "", None, "")])
 CONFIG = _values("key, value", [("images", "images"), ("resolution", "4"), ("eval", None), ("data_device", "cpu"), ("sh_degree", "3")])
-GIVEN = _values("key, value", [("resolution", "2"), ("images", None), ("depths", None), ("iterations", "7000"), ("data_device", "cuda"), ("white_background", "true")])
+GIVEN = _values("key, value", [("resolution", "2"), ("images", None), ("depths", None), ("iterations", "7000"), ("data_device", "cuda"), ("white_background", "true"), ("source_path", "../in/./x")])
+VIDEOS = _values(
+    "path, size, first_frame_ok, width, height, frame_count, requested_size",
+    [("a.mp4", 10, True, 8000, 4000, 7200, "8000x4000"), ("b.mp4", 10, True, 1920, 960, 0, "1920x960"), ("c.mp4", 10, False, 8000, 4000, 5, "8000x4000"), ("d.mp4", 10, True, 1920, 960, 9, "8000x4000"), ("e.mp4", 0, True, 8000, 4000, 9, "8000x4000")],
+)
+RAW_PATHS = _values("path", [(p,) for p in ("v.insv", "/repo/v.insv", "./a/../v.insv", "../up.mp4", "/repo//x/./y.mp4", "", "/", "//two/x", "///three/x", "../../../../over.mp4", "a/b/..", None)])
 CONFIG_TEXT = "Namespace(sh_degree=3, source_path='/data/it, is', images=\"images\", resolution=-1, white_background=False, lambda_dssim=0.2, depths=None)"
 
 
@@ -140,18 +146,27 @@ def path_derive(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def path_containment(spark: SparkSession, sf_dir: str) -> DataFrame:
-    own = spark.sql(PATHS)
+    own = spark.sql(PATHS).union(_table(spark, sf_dir, "pages").select(F.lit(URL_ROOT), "url"))
     return own.select("root", "path", *[c.alias(k) for k, c in gates.capture_paths(F.col("path"), F.col("root")).items()])
 
 
+def absolute_paths(spark: SparkSession, sf_dir: str) -> DataFrame:
+    own = spark.sql(RAW_PATHS).union(_table(spark, sf_dir, "pages").select("url"))
+    return own.select("path", X.absolute_path(F.col("path"), "/work/here").alias("absolute"))
+
+
+def _texts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return spark.sql(TEXTS).union(_table(spark, sf_dir, "pages").select("url"))
+
+
 def mapping_paths(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return spark.sql(TEXTS).where("s is not null").select("s", *[c.alias(k) for k, c in gates.mapping_paths(F.col("s")).items()])
+    return _texts(spark, sf_dir).where("s is not null").select("s", *[c.alias(k) for k, c in gates.mapping_paths(F.col("s")).items()])
 
 
 def text_functions(spark: SparkSession, sf_dir: str) -> DataFrame:
     s = F.col("s")
     tokens = X.split_tokens(s, "-")
-    return spark.sql(TEXTS).select("s", F.array_join(tokens, ",").alias("tokens"), F.size(tokens).alias("n"), X.leading_int(s).alias("number"), X.strip_extension(s).alias("stripped"), X.stem(s).alias("stem"), X.default_if_empty(s, "none").alias("given"))
+    return _texts(spark, sf_dir).select("s", F.array_join(tokens, ",").alias("tokens"), F.size(tokens).alias("n"), X.leading_int(s).alias("number"), X.strip_extension(s).alias("stripped"), X.stem(s).alias("stem"), X.default_if_empty(s, "none").alias("given"))
 
 
 def size_parse(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -188,7 +203,7 @@ def param_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def param_extract(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return params.extract(spark.sql(GIVEN), params.param_rows(spark), "model")
+    return params.extract(spark.sql(GIVEN), params.param_rows(spark), "model", "/work/here")
 
 
 def param_overlay(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -201,15 +216,23 @@ def param_switches(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def param_compare(spark: SparkSession, sf_dir: str) -> DataFrame:
     declared = params.param_rows(spark).select("key", F.col("default_value").alias("value"))
-    return params.compare_settings(declared, training.setting_rows(spark, training.settings("/w", "/w/out", iterations=7_000)).select("key", "value")).groupBy("status").count().select("status", F.col("count").alias("n"))
+    return params.compare_settings(declared, training.setting_rows(spark, training.settings("/w", "/w/out", iterations=7_000)).select("key", "value"))
 
 
 def config_values(spark: SparkSession, sf_dir: str) -> DataFrame:
     return spark.createDataFrame([(k, params.text_of(v)) for k, v in parse_call(CONFIG_TEXT).items()], "key string, value string")
 
 
+def config_overlay(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return params.overlay(config_values(spark, sf_dir), spark.sql(GIVEN))
+
+
 def training_settings(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return training.setting_rows(spark, training.settings("/w", "/w/out")).groupBy("section").agg(F.count("*").alias("n_settings"))
+    return training.setting_rows(spark, training.settings("/w", "/w/out", iterations=7_000))
+
+
+def video_report(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return gates.video_report(spark.sql(VIDEOS)).select("path", "frame_count", "report")
 
 
 def cli_inputs(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -242,6 +265,7 @@ QUERIES = {
         media_route,
         path_derive,
         path_containment,
+        absolute_paths,
         mapping_paths,
         text_functions,
         size_parse,
@@ -256,7 +280,9 @@ QUERIES = {
         param_switches,
         param_compare,
         config_values,
+        config_overlay,
         training_settings,
+        video_report,
         cli_inputs,
         cli_options,
         cli_unknown,
@@ -324,7 +350,116 @@ _INT_VALUE = f"CASE WHEN flag IN {_list(cli.INT_OPTIONS)} THEN {_number('value')
 _ENUM_VALUE = "CASE " + " ".join(f"WHEN flag = '{f}' THEN CASE value " + " ".join(f"WHEN '{k}' THEN '{v}'" for k, v in known.items()) + f" ELSE '{cli.ENUM_DEFAULTS[f]}' END" for f, known in cli.ENUM_OPTIONS.items()) + " END"
 _REASON = f"""CASE WHEN size <= 0 THEN 'missing or empty' WHEN NOT regexp_full_match(requested_size, '[+-]?[0-9]+x[+-]?[0-9]+') THEN 'bad size request'
   WHEN NOT first_frame_ok THEN 'no frame decodes' WHEN width || 'x' || height <> requested_size THEN 'wrong size' END"""
-_PARAM_ROWS = _values("grp, key, dtype, has_short, default_value", [r for g, d in params.GROUPS.items() for r in params.group_rows(d, g)])
+# Fixed values, written down beside the tables of the code under test: group, key, type, short form, default.
+_PARAMETERS = """
+model sh_degree long - 3
+model source_path string s ""
+model model_path string s ""
+model images string s images
+model depths string s ""
+model resolution long s -1
+model white_background boolean s false
+model dynamic_memory boolean - false
+model train_test_exp boolean - false
+model data_device string - cuda
+model eval boolean - false
+model skip_interval long - 1
+pipeline convert_SHs_python boolean - false
+pipeline compute_cov3D_python boolean - false
+pipeline debug boolean - false
+pipeline antialiasing boolean - false
+optimization iterations long - 30000
+optimization position_lr_init double - 0.00016
+optimization position_lr_final double - 1.6e-06
+optimization position_lr_delay_mult double - 0.01
+optimization position_lr_max_steps long - 30000
+optimization feature_lr double - 0.0025
+optimization opacity_lr double - 0.025
+optimization scaling_lr double - 0.005
+optimization rotation_lr double - 0.001
+optimization exposure_lr_init double - 0.01
+optimization exposure_lr_final double - 0.001
+optimization exposure_lr_delay_steps long - 0
+optimization exposure_lr_delay_mult double - 0.0
+optimization percent_dense double - 0.01
+optimization lambda_dssim double - 0.2
+optimization densification_interval long - 100
+optimization opacity_reset_interval long - 3000
+optimization min_opacity double - 0.01
+optimization max_point_screen_size long - 20
+optimization densify_from_iter long - 500
+optimization densify_until_iter long - 15000
+optimization densify_grad_threshold double - 0.0002
+optimization depth_l1_weight_init double - 1.0
+optimization depth_l1_weight_final double - 0.01
+optimization random_background boolean - false
+optimization optimizer_type string - default
+"""
+# Section, key, value of a training config for /w, 7000 iterations.
+_TRAINING = """
+model_params model_config {'name': 'GaussianModel', 'kwargs': {}}
+model_params sh_degree 3
+model_params source_path /w
+model_params model_path /w/out
+model_params images images
+model_params alpha_masks ""
+model_params use_alpha_masks false
+model_params use_sky_masks false
+model_params use_depth false
+model_params resolution 1
+model_params white_background false
+model_params data_device cpu
+model_params eval true
+model_params skybox_num 100000
+model_params skybox_locked false
+model_params default_camera_type 3
+pipeline_params convert_SHs_python false
+pipeline_params compute_cov3D_python false
+pipeline_params debug false
+optim_params iterations 7000
+optim_params position_lr_init 0.00016
+optim_params position_lr_final 1.6e-06
+optim_params position_lr_delay_mult 0.01
+optim_params position_lr_max_steps 30000
+optim_params feature_lr 0.0025
+optim_params opacity_lr 0.05
+optim_params scaling_lr 0.005
+optim_params rotation_lr 0.001
+optim_params percent_dense 0.01
+optim_params lambda_dssim 0.2
+optim_params densification_interval 100
+optim_params opacity_reset_interval 3000
+optim_params densify_from_iter 500
+optim_params densify_until_iter 15000
+optim_params densify_grad_threshold 0.0002
+optim_params densify_grad_abs_threshold 0.0004
+optim_params prune_by_extent false
+optim_params depth_l1_weight_init 0
+optim_params depth_l1_weight_final 0
+optim_params max_cache_num 512
+optim_params skip_bottom_ratio 0
+"""
+
+
+def _lines(text: str, n: int) -> list[list[str]]:
+    """Lines of n words, of which the last may have blanks; two quotes are an empty text."""
+    return [["" if w == '""' else w for w in line.split(" ", n - 1)] for line in text.strip().split("\n")]
+
+
+_PARAM_ROWS = _values("grp, key, dtype, has_short, default_value", [(g, k, t, short == "s", v) for g, k, t, short, v in _lines(_PARAMETERS, 5)])
+_SETTING_ROWS = _values("section, key, value", [tuple(x) for x in _lines(_TRAINING, 3)])
+_CONFIG_VALUES = _values("key, value", [("sh_degree", "3"), ("source_path", "/data/it, is"), ("images", "images"), ("resolution", "-1"), ("white_background", "false"), ("lambda_dssim", "0.2"), ("depths", None)])
+_ALL_PATHS = f"SELECT root, path FROM ({PATHS}) UNION ALL SELECT '{URL_ROOT}', url FROM pages"
+_ALL_TEXTS = f"SELECT s FROM ({TEXTS}) UNION ALL SELECT url FROM pages"
+
+
+def _absolute(p: str, folder: str) -> str:
+    """Path parts from the last to the first: each .. takes away the next that is none."""
+    full = f"CASE WHEN starts_with({p}, '/') THEN {p} ELSE '{folder}/' || {p} END"
+    fold = f"""list_reduce([{{'n': 0, 's': ''}}] || list_transform(list_reverse(list_filter(string_split({full}, '/'), lambda x: x NOT IN ('', '.'))), lambda x: {{'n': 0, 's': x}}),
+      lambda acc, x: CASE WHEN x.s = '..' THEN {{'n': acc.n + 1, 's': acc.s}} WHEN acc.n > 0 THEN {{'n': acc.n - 1, 's': acc.s}} ELSE {{'n': 0, 's': '/' || x.s || acc.s}} END).s"""
+    return f"CASE WHEN {p} IS NULL THEN NULL ELSE CASE WHEN regexp_matches({full}, '^//([^/]|$)') THEN '/' ELSE '' END || coalesce(nullif({fold}, ''), '/') END"
+
 
 ORACLE = {
     "frame_stride_sample": f"SELECT event_id AS frame_idx, event_id // s AS image_idx, printf('%06d.jpg', event_id // s) AS image_name FROM events, (SELECT greatest(1, round_even({FPS} / {RATE}, 0)::BIGINT) AS s) WHERE event_id % s = 0",
@@ -337,9 +472,10 @@ ORACLE = {
     "clamp_adjustment": "SELECT c_custkey, greatest(-100, least(100, trunc(c_acctbal)::INT)) AS adjusted FROM customer",
     "media_route": f"SELECT path, ending, {_ROUTE} AS route FROM (SELECT path, {_SUFFIX.format('path')} AS ending FROM (SELECT url AS path FROM pages UNION ALL SELECT path FROM ({PATHS})))",
     "path_derive": f"SELECT page_id, {_BASE.format('url')} AS base, {_DIR.format('url')} AS dir, {_SUFFIX.format('url')} AS ending, {_STRIP.format(_BASE.format('url'))} || '_mapping' AS mapping FROM pages",
-    "path_containment": f"SELECT root, path, {_derived('path', 'root')} FROM ({PATHS})",
-    "mapping_paths": f"SELECT s, w AS work_dir, w || '/images' AS image_dir, w || '/database.db' AS database_path, w || '/sparse' AS sparse_dir FROM (SELECT s, {_DIR.format('s')} || '/' || {_STRIP.format(_BASE.format('s'))} || '_mapping' AS w FROM ({TEXTS}) WHERE s IS NOT NULL)",
-    "text_functions": f"SELECT s, CASE WHEN s IS NOT NULL THEN array_to_string({_tokens('s', '-')}, ',') END AS tokens, len({_tokens('s', '-')})::INT AS n, {_number('s')} AS number, {_STRIP.format('s')} AS stripped, {_STRIP.format(_BASE.format('s'))} AS stem, coalesce(nullif(s, ''), 'none') AS given FROM ({TEXTS})",
+    "path_containment": f"SELECT root, path, {_derived('path', 'root')} FROM ({_ALL_PATHS})",
+    "absolute_paths": f"SELECT path, {_absolute('path', '/work/here')} AS absolute FROM (SELECT path FROM ({RAW_PATHS}) UNION ALL SELECT url FROM pages)",
+    "mapping_paths": f"SELECT s, w AS work_dir, w || '/images' AS image_dir, w || '/database.db' AS database_path, w || '/sparse' AS sparse_dir FROM (SELECT s, {_DIR.format('s')} || '/' || {_STRIP.format(_BASE.format('s'))} || '_mapping' AS w FROM ({_ALL_TEXTS}) WHERE s IS NOT NULL)",
+    "text_functions": f"SELECT s, CASE WHEN s IS NOT NULL THEN array_to_string({_tokens('s', '-')}, ',') END AS tokens, len({_tokens('s', '-')})::INT AS n, {_number('s')} AS number, {_STRIP.format('s')} AS stripped, {_STRIP.format(_BASE.format('s'))} AS stem, coalesce(nullif(s, ''), 'none') AS given FROM ({_ALL_TEXTS})",
     "size_parse": f"SELECT size, CASE WHEN len(p) = 2 THEN {_number('p[1]')} ELSE 1920 END AS width, CASE WHEN len(p) = 2 THEN {_number('p[2]')} ELSE 960 END AS height, CASE WHEN b IS NOT NULL THEN a END AS strict_width, CASE WHEN a IS NOT NULL THEN b END AS strict_height FROM (SELECT size, {_tokens('size', 'x')} AS p, try_cast(nullif(regexp_extract(size, '{_STRICT}', 1), '') AS INT) AS a, try_cast(nullif(regexp_extract(size, '{_STRICT}', 2), '') AS INT) AS b FROM ({SIZES}))",
     "stage_pending": "SELECT o_orderkey AS run_id FROM orders WHERE o_orderkey NOT IN (SELECT l_orderkey FROM lineitem)",
     "stage_gates": f"SELECT run_id, stage FROM ({REQUIRED}) EXCEPT SELECT run_id, stage FROM (SELECT *, {_REASON} AS reason FROM ({ARTIFACTS})) WHERE (stage = 'stitch' AND reason IS NULL) OR stage = 'convert' OR (stage = 'reconstruct' AND size > 0)",
@@ -347,12 +483,14 @@ ORACLE = {
     "request_check": f"SELECT run_id, CASE WHEN n_inputs = 0 THEN 'no input' WHEN coalesce(output, '') = '' AND coalesce(sequence_dir, '') = '' THEN 'no output' END AS reason, CASE WHEN n_args < 1 THEN 'too few arguments' END AS arity FROM ({REQUESTS})",
     "run_defaults": "SELECT run_id, path, " + ", ".join(f"coalesce(nullif({k}, ''), '{v}') AS {k}" for k, v in pipeline.DEFAULTS.items()) + f", {_derived('path', chr(39) + '/repo' + chr(39))} FROM ({RUNS})",
     "param_rows": f"SELECT grp, key, dtype, has_short, CASE WHEN grp <> 'model' THEN default_value END AS default_value FROM ({_PARAM_ROWS})",
-    "param_extract": f"SELECT * FROM ({GIVEN}) WHERE key IN (SELECT key FROM ({_PARAM_ROWS}) WHERE grp = 'model')",
+    "param_extract": f"SELECT key, CASE WHEN key = 'source_path' THEN '/work/in/x' ELSE value END AS value FROM ({GIVEN}) WHERE key IN (SELECT key FROM ({_PARAM_ROWS}) WHERE grp = 'model')",
     "param_overlay": f"SELECT coalesce(g.key, c.key) AS key, coalesce(g.value, c.value) AS value FROM ({CONFIG}) c FULL JOIN ({GIVEN}) g ON c.key = g.key WHERE c.key IS NOT NULL OR g.value IS NOT NULL",
     "param_switches": f"SELECT grp, key, default_value = 'true' OR key IN (SELECT key FROM ({GIVEN}) WHERE value = 'true') AS value FROM ({_PARAM_ROWS}) WHERE dtype = 'boolean'",
-    "param_compare": "SELECT * FROM (VALUES ('equal', 20::BIGINT), ('differs', 9::BIGINT), ('left only', 13::BIGINT), ('right only', 12::BIGINT)) AS t(status, n)",
-    "config_values": _values("key, value", [("sh_degree", "3"), ("source_path", "/data/it, is"), ("images", "images"), ("resolution", "-1"), ("white_background", "false"), ("lambda_dssim", "0.2"), ("depths", None)]),
-    "training_settings": "SELECT * FROM (VALUES ('model_params', 16::BIGINT), ('pipeline_params', 3::BIGINT), ('optim_params', 22::BIGINT)) AS t(section, n_settings)",
+    "param_compare": f"SELECT coalesce(a.key, b.key) AS key, default_value AS left_value, value AS right_value, CASE WHEN b.key IS NULL THEN 'left only' WHEN a.key IS NULL THEN 'right only' WHEN default_value IS NOT DISTINCT FROM value THEN 'equal' ELSE 'differs' END AS status FROM ({_PARAM_ROWS}) a FULL JOIN ({_SETTING_ROWS}) b ON a.key = b.key",
+    "config_values": _CONFIG_VALUES,
+    "config_overlay": f"SELECT coalesce(g.key, c.key) AS key, coalesce(g.value, c.value) AS value FROM ({_CONFIG_VALUES}) c FULL JOIN ({GIVEN}) g ON c.key = g.key WHERE c.key IS NOT NULL OR g.value IS NOT NULL",
+    "training_settings": _SETTING_ROWS,
+    "video_report": f"SELECT path, frame_count, path || ': ' || frame_count || ' frames, ' || width || 'x' || height AS report FROM (SELECT *, {_REASON} AS reason FROM ({VIDEOS})) WHERE reason IS NULL",
     "cli_inputs": _FOLD + " SELECT run_id, (row_number() OVER (PARTITION BY run_id ORDER BY pos) - 1)::INT AS input_idx, value AS path FROM ev WHERE kind = 'input'",
     "cli_options": _FOLD + f" SELECT run_id, flag, value, {_INT_VALUE} AS int_value, {_ENUM_VALUE} AS enum_value FROM opt",
     "cli_unknown": _FOLD + " SELECT run_id, pos, value AS tok FROM ev WHERE kind = 'unknown'",

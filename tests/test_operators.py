@@ -9,9 +9,10 @@ import pytest
 from framewright.functions import text as X
 from framewright.operators import cli, events, frames, gates, params
 from framewright.plans import pipeline, training
-from framewright.sinks.files import write_manifest, write_training_config
-from framewright.sources.config import command_line_values, parse_call, read_config
-from framewright.sources.media import media_files
+from framewright.sinks.files import write_images, write_manifest, write_training_config
+from framewright.sources.config import combined_arguments, command_line_values, parse_call, read_config
+from framewright.sources.media import FrameSource, PropertySource, frames_of, media_files, properties_of
+from framewright.streaming.progress import progress_changes, run_bounded, run_status
 from pyspark.sql import functions as F
 
 
@@ -190,23 +191,23 @@ def test_training_config(tmp_path):
     write_training_config(str(tmp_path / "c.yaml"), sections)
     text = (tmp_path / "c.yaml").read_text()
     assert '  source_path: "/w \\"x\\""' in text and "  iterations: 7000" in text and "  position_lr_max_steps: 30000" in text and "position_lr_final: 0.0000016" in text
+    for line in ("model_params:", "pipeline_params:", "optim_params:", '  model_config: {name: "GaussianModel", kwargs: {}}', "  resolution: 2", "  eval: true", '  alpha_masks: ""', "  densify_grad_abs_threshold: 0.0004", "  prune_by_extent: false", "  lambda_dssim: 0.2", "  depth_l1_weight_init: 0", "  max_cache_num: 512"):
+        assert line in text.split("\n")
     assert [len(s) for s in sections.values()] == [16, 3, 22] and math.isclose(sections["optim_params"]["opacity_lr"], 0.05)
 
 
 def test_media_files_and_manifest(spark, tmp_path):
-    for name in ("a.insp", "b.mp4", "c.txt"):
+    for name in ("a.insp", "b.mp4", "c.txt", "D.JPG", "E.InSp"):
         (tmp_path / name).write_bytes(b"x")
     got = {r["path"].rpartition("/")[2]: r["route"] for r in media_files(spark, str(tmp_path)).collect()}
-    assert got == {"a.insp": "image", "b.mp4": "video", "c.txt": "unsupported"}
-    assert media_files(spark, str(tmp_path), images_only=True).count() == 1
+    assert got == {"a.insp": "image", "b.mp4": "video", "c.txt": "unsupported", "D.JPG": "image", "E.InSp": "image"}
+    assert media_files(spark, str(tmp_path), images_only=True).count() == 3
     images = frames.stride_sample(spark.createDataFrame([("v", i) for i in range(7)], "capture_id string, frame_idx long"), 3)
     write_manifest(images, str(tmp_path / "m"))
     assert sorted(r["image_name"] for r in spark.read.parquet(str(tmp_path / "m")).collect()) == ["000000.jpg", "000001.jpg", "000002.jpg"]
 
 
 def test_progress_stream(spark, tmp_path):
-    from framewright.streaming.progress import progress_changes, run_bounded
-
     schema = "run_id string, seq long, percent long"
     for part, rows in enumerate([[("a", 0, 0), ("a", 1, 5), ("b", 0, 7)], [("a", 2, 5), ("a", 3, 100), ("b", 1, 7)]]):
         spark.createDataFrame(rows, schema).coalesce(1).write.mode("append").json(str(tmp_path / "in"))
@@ -217,8 +218,141 @@ def test_progress_stream(spark, tmp_path):
 
 
 def test_frame_source_without_decoder(spark):
-    from framewright.sources.media import FrameSource
-
     spark.dataSource.register(FrameSource)
     df = spark.read.format("video_frames").option("paths", "").load()
-    assert df.columns == ["capture_id", "frame_idx", "fps", "grab_ok", "read_ok"] and df.count() == 0
+    assert df.columns == ["capture_id", "frame_idx", "fps", "grab_ok", "read_ok", "image"] and df.count() == 0
+    spark.dataSource.register(PropertySource)
+    df = spark.read.format("video_properties").option("paths", "[]").load()
+    assert df.columns == ["capture_id", "fps", "width", "height", "frame_count", "first_frame_ok"] and df.count() == 0
+
+
+class _FakeVideo:
+    """A decoder's answers: frames by number, of which some cannot be grabbed or read."""
+
+    def __init__(self, n: int, fps: float = 25.0, no_grab: tuple = (), no_read: tuple = ()):
+        self.n, self.fps, self.no_grab, self.no_read, self.at, self.decoded = n, fps, no_grab, no_read, -1, []
+
+    def get(self, what):
+        return {3: 640.0, 4: 320.0, 5: self.fps, 7: float(self.n)}[what]
+
+    def grab(self):
+        self.at += 1
+        return self.at < self.n and self.at not in self.no_grab
+
+    def retrieve(self):
+        self.decoded.append(self.at)
+        return (False, None) if self.at in self.no_read else (True, f"pixels{self.at}")
+
+    def read(self):
+        return self.retrieve() if self.grab() else (False, None)
+
+
+def test_skipped_frames_are_grabbed_only():
+    video = _FakeVideo(30)
+    rows = list(frames_of(video, rate=2.0, encode=str.encode))
+    assert [r[0] for r in rows] == video.decoded == [0, 12, 24] and rows[1][1:] == (25.0, True, True, b"pixels12")
+    assert [r[0] for r in frames_of(_FakeVideo(7), step=3)] == [0, 3, 6]
+    assert [r[0] for r in frames_of(_FakeVideo(9, no_grab=(4,)), step=3)] == [0, 3]
+    assert [(r[0], r[3]) for r in frames_of(_FakeVideo(9, no_read=(4, 6)), step=3)] == [(0, True), (3, True), (6, False)]
+    assert list(frames_of(_FakeVideo(0))) == [] and [r[0] for r in frames_of(_FakeVideo(3, fps=0.0), rate=2.0)] == [0, 1, 2]
+
+
+def test_sampled_frames_are_what_the_operators_keep(spark):
+    """Reading with a step gives the images of reading all, cut at the first failure and sampled."""
+    rng = random.Random(8)
+    for _ in range(4):
+        n, step = rng.randint(5, 40), rng.choice([2, 3, 5])
+        bad = dict(no_grab=(rng.randrange(n * 2),), no_read=(rng.randrange(n * 2),))
+        ok = [r[0] for r in frames_of(_FakeVideo(n, **bad), step=step) if r[3]]
+        every = [("v", i, i not in bad["no_grab"], i not in bad["no_read"] and i not in bad["no_grab"]) for i in range(n)]
+        df = spark.createDataFrame(every, "capture_id string, frame_idx long, grab_ok boolean, read_ok boolean")
+        assert sorted(r["frame_idx"] for r in frames.stride_sample(frames.until_failure(df, step), step).collect()) == ok
+
+
+def test_video_properties():
+    assert properties_of(_FakeVideo(9)) == (25.0, 640, 320, 9, True)
+    assert properties_of(_FakeVideo(0)) == (25.0, 640, 320, 0, False)
+
+
+def test_images_are_written(spark, tmp_path):
+    rows = [("000000.jpg", b"a"), ("000001.jpg", None), ("000002.jpg", b"c"), (None, b"d")]
+    images = spark.createDataFrame(rows, "image_name string, image binary").repartition(2)
+    for _ in range(2):
+        assert write_images(images, str(tmp_path / "out")) == 2
+    assert {p.name: p.read_bytes() for p in (tmp_path / "out").iterdir()} == {"000000.jpg": b"a", "000002.jpg": b"c"}
+    assert write_images(images.limit(0), str(tmp_path / "none")) == 0
+
+
+def test_absolute_paths_are_the_systems(spark):
+    import os
+
+    rng = random.Random(2)
+    paths = ["".join(rng.choices(["a", "..", ".", "/", "b.c"], k=rng.randint(0, 7))) for _ in range(300)] + [None]
+    got = spark.createDataFrame([(p,) for p in paths], "p string").select("p", X.absolute_path(F.col("p"), "/x/y").alias("a")).collect()
+    assert all(r["a"] == (None if r["p"] is None else os.path.normpath(os.path.join("/x/y", r["p"]))) for r in got)
+
+
+def test_config_under_a_command_line(spark, tmp_path):
+    (tmp_path / "cfg_args").write_text("Namespace(images='i', eval=None, resolution=4, source_path='/s')")
+    got = dict(map(tuple, combined_arguments(spark, str(tmp_path), {"resolution": 2, "images": None, "depths": None, "debug": True}).collect()))
+    assert got == {"images": "i", "eval": None, "resolution": "2", "source_path": "/s", "debug": "true"}
+    assert dict(map(tuple, combined_arguments(spark, None, {"a": 1}).collect())) == {"a": "1"}
+    (tmp_path / "cfg_args").write_text("")
+    with pytest.raises(ValueError):
+        combined_arguments(spark, str(tmp_path), {})
+
+
+def test_busy_run_in_one_micro_batch(spark, tmp_path):
+    """More events than one frame holds, shuffled."""
+    rows = [("a", seq, seq // 10_000 * 30) for seq in range(30_000)]
+    random.Random(1).shuffle(rows)
+    schema = "run_id string, seq long, percent long"
+    spark.createDataFrame(rows, schema).coalesce(1).write.json(str(tmp_path / "in"))
+    stream = spark.readStream.schema(schema).json(str(tmp_path / "in"))
+    query = progress_changes(stream).writeStream.format("memory").queryName("busy").outputMode("append").option("checkpointLocation", str(tmp_path / "ck")).trigger(availableNow=True).start()
+    assert run_bounded(query, 120)
+    assert sorted(map(tuple, spark.table("busy").collect())) == [("a", 10_000, 30), ("a", 20_000, 60)]
+
+
+def test_silent_runs_are_forgotten():
+    import pandas as pd
+    from framewright.streaming.progress import _changes
+
+    class State:
+        exists, hasTimedOut, kept, duration = False, False, None, None
+
+        @property
+        def get(self):
+            return self.kept
+
+        def update(self, value):
+            self.exists, self.kept = True, value
+
+        def remove(self):
+            self.exists, self.kept = False, None
+
+        def setTimeoutDuration(self, ms):
+            self.duration = ms
+
+    state, run = State(), _changes(5000)
+    frame = lambda *rows: pd.DataFrame(rows, columns=["run_id", "seq", "percent"])
+    out = pd.concat(run(("a",), iter([frame(("a", 2, 7)), frame(("a", 1, 5), ("a", 3, None))]), state))
+    assert out["seq"].tolist() == [1, 2, 3] and state.kept == (0,) and state.duration == 5000
+    state.hasTimedOut = True
+    assert list(run(("a",), iter([]), state)) == [] and not state.exists
+
+
+def test_status_stream_is_the_batch(spark, tmp_path):
+    from datetime import datetime, timedelta
+
+    at = lambda m: datetime(2024, 1, 1) + timedelta(minutes=m)
+    progress = [("a", at(0), 5), ("a", at(2), 100), ("b", at(1), 50), ("c", at(3), 101), ("d", at(600), 1), ("d", at(1200), 1)]
+    states = [("b", at(4)), ("d", at(601))]
+    for name, rows, schema in (("p", progress, "run_id string, ts timestamp, percent int"), ("s", states, "run_id string, ts timestamp")):
+        spark.createDataFrame(rows, schema).coalesce(1).write.parquet(str(tmp_path / name))
+    p, s = (spark.readStream.schema(x).parquet(str(tmp_path / n)) for n, x in (("p", "run_id string, ts timestamp, percent int"), ("s", "run_id string, ts timestamp")))
+    query = run_status(p, s).writeStream.format("memory").queryName("ended").outputMode("append").option("checkpointLocation", str(tmp_path / "ck")).trigger(availableNow=True).start()
+    assert run_bounded(query, 120)
+    got = sorted(map(tuple, spark.table("ended").collect()))
+    assert got[:3] == [("a", True, False, True, 120_000), ("b", False, True, True, 180_000), ("c", False, False, False, 0)]
+    assert ("d", False, True, True, 60_000) in got
