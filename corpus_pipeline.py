@@ -35,9 +35,8 @@ def source_mixing(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFram
 
 
 def hilbert_sharding(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Adds shard and slot, with the keys by which they are dealt."""
-    keyed = docs.withColumns(sharding.document_keys(docs))
-    return sharding.shard(keyed, ["curve", "doc_id", "text_crc32", "size"])
+    """Adds shard and slot, in the order of a Hilbert curve through language, source and size."""
+    return sharding.sharded(docs)
 
 
 STAGES = [
@@ -53,7 +52,7 @@ ORACLE_SQL = None
 
 
 def run(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """The sharded documents: the columns of documents, size, text_crc32, curve, shard and slot."""
+    """The sharded documents: the columns of documents, shard and slot."""
     folder = f"{checkpoint_dir(spark)}/pipeline-{uuid.uuid4().hex}"
     docs = read_table(spark, sf_dir, "documents")
     for k, (name, stage) in enumerate(STAGES):

@@ -72,7 +72,8 @@ def text_blocks(batches: Iterator[pa.RecordBatch], at: int, size: int) -> Iterat
 
 
 def long_array(values: list[int]) -> Column:
-    return F.array(*[F.lit(int(v)).cast("long") for v in values])
+    """One literal, however many the values."""
+    return F.lit(np.array(values, np.int64)) if len(values) else F.array().cast("array<bigint>")
 
 
 def uniform(*parts: Column) -> Column:

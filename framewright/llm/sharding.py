@@ -1,6 +1,6 @@
 """Sharding by Hilbert order: rows that are alike in several metadata columns share shards.
 
-Each metadata column is quantised to ``bits`` bits, the cell's index on a Hilbert
+Each metadata column is quantised to ``bits`` bits in its own order, by the share of the rows that sort before a value (sizes by classes of an eighth of a doubling), the cell's index on a Hilbert
 curve orders the rows, and runs of that order are cut into shards. A file then
 covers a compact box of all the columns at once, so a filter on any of them
 prunes files by their minima and maxima.
@@ -12,12 +12,15 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
-from framewright.llm.common import cut_lineage, long_array, read_table
+from framewright.llm.common import cut_lineage, long_array, read_table, small
 
 N_SHARDS = 40
 BITS = 5
 ROW_OVERHEAD = 16
 _STATE_BITS = 8
+#: Labels that are sent to all executors at most; more meet the rows by an exchange, in SALTS tasks for each label.
+BROADCAST_LABELS = 100_000
+SALTS = 16
 
 
 def curve_tables(dims: int) -> tuple[list[int], list[int]]:
@@ -80,78 +83,129 @@ def hilbert_index(dims: list[Column], bits: int) -> Column:
     return F.shiftright(F.aggregate(F.array(*corners), F.lit(0).cast("long"), step), _STATE_BITS)
 
 
-def label_code(label: Column, bits: int) -> Column:
-    """0 for null, else 1 to 2**bits - 1 by the label's MD5: one label always has one code."""
-    code = F.conv(F.substring(F.md5(label.cast("string")), 1, 8), 16, 10).cast("long") % ((1 << bits) - 1) + 1
-    return F.coalesce(code, F.lit(0).cast("long"))
+def size_class(n: Column) -> Column:
+    """A number's logarithm in steps of an eighth or less, without floating point: its count of binary digits and the three digits after the first."""
+    digits = F.length(F.bin(n.cast("long"))).cast("long")
+    rest = F.floor(n / F.pow(F.lit(2.0), F.greatest(digits - 4, F.lit(0)))).cast("long").bitwiseAND(F.lit(7))
+    return digits * 8 + rest
 
 
-def magnitude(n: Column, bits: int) -> Column:
-    """The number of binary digits, at most 2**bits - 1: a logarithmic class without floating point."""
-    return F.least(F.length(F.bin(n.cast("long"))), F.lit((1 << bits) - 1)).cast("long")
+def in_order(df: DataFrame, order: list[Column], sizes: dict[str, Column]) -> tuple[DataFrame, dict[str, int], int]:
+    """df's rows as (row, part, local, sizes, before_*), in ascending order by ranges; the sums of sizes; the number of rows.
 
+    ``row`` holds df's columns; ``rank`` is the row's place from 0, ``before_<name>`` the sum of a size over the rows before it. Nulls sort first.
 
-def shard(df: DataFrame, order: list[str], n_shards: int = N_SHARDS, law: str = "rows", size: str = "size") -> DataFrame:
+    One range exchange on the whole order and a local sort; places come from the partitions' counts and sums, so no
+    window runs over all rows. The ranged rows are checkpointed: counts and places then refer to the same
+    partitions even when an executor is lost.
+    """
+    held = df.select(F.struct(*df.columns).alias("row"), *[c.alias(f"_o{i}") for i, c in enumerate(order)], *[c.cast("long").alias(f"_s_{k}") for k, c in sizes.items()])
+    keys = [F.col(f"_o{i}").asc_nulls_first() for i in range(len(order))]
+    ranged = held.repartitionByRange(*keys).sortWithinPartitions(*keys).drop(*[f"_o{i}" for i in range(len(order))])
+    ranged = cut_lineage(ranged.withColumn("_place", F.monotonically_increasing_id()))
+    part, local = F.shiftright("_place", 33), F.col("_place").bitwiseAND(F.lit((1 << 33) - 1))
+    # One row for each partition: as many as the exchange has, whatever the number of rows.
+    sums = [F.coalesce(F.sum(f"_s_{k}"), F.lit(0)).alias(k) for k in sizes]
+    per_part = {r["part"]: r for r in ranged.groupBy(part.alias("part")).agg(F.count("*").alias("_rows"), *sums).collect()}
+    starts: dict[str, list[int]] = {k: [] for k in ("_rows", *sizes)}
+    total = dict.fromkeys(starts, 0)
+    for p in range(max(per_part, default=-1) + 1):
+        for k in starts:
+            starts[k].append(total[k])
+            total[k] += per_part[p][k] if p in per_part else 0
+    at = (part + 1).cast("int")
+    start = lambda k: F.element_at(long_array(starts[k]), at) if starts[k] else F.lit(0).cast("long")
+    out = ranged.withColumn("rank", start("_rows") + local)
+    earlier = Window.partitionBy(part).orderBy("_place").rowsBetween(Window.unboundedPreceding, -1)
+    for k in sizes:
+        out = out.withColumn(f"before_{k}", start(k) + F.coalesce(F.sum(f"_s_{k}").over(earlier), F.lit(0).cast("long")))
+    return out.select("row", "rank", *[f"before_{k}" for k in sizes]), {k: total[k] for k in sizes}, total["_rows"]
+
+
+def shard(df: DataFrame, order: list[Column], n_shards: int = N_SHARDS, law: str = "rows", size: Column | None = None) -> DataFrame:
     """Adds ``shard`` and ``slot`` to df: runs of df in ascending ``order``.
 
     law ``rows``: the shards' row counts differ by at most one. law ``bytes``: a shard
     takes the rows whose first byte falls in its share of all bytes of ``size``, so its
     size is off by one row at most. ``slot`` counts from 0 in each shard, without gaps.
 
-    One range exchange on the whole order (ties in a hot cell are dealt out by the
-    later columns) and a local sort; places come from the partitions' counts, so no
-    window runs over all rows and no shard is gathered in one task. The ranged rows
-    are checkpointed: counts and places then refer to the same partitions even when
-    an executor is lost. Rows that are equal in all of ``order`` take neighbouring
-    slots in any order. Nulls sort first. An empty df stays empty. Columns of df that are
-    named like those added are replaced.
+    Ties in a hot cell are dealt out by the order's later columns; no shard is gathered in one task.
+    Rows that are equal in all of ``order`` take neighbouring
+    slots in any order. Nulls sort first. An empty df stays empty. All columns of df stay, but for any that is
+    named shard or slot, which is replaced.
     """
     if law not in ("rows", "bytes"):
         raise ValueError(f"unknown law: {law}")
     if n_shards < 1:
         raise ValueError("n_shards must be positive")
-    ranged = df.repartitionByRange(*[F.col(c).asc_nulls_first() for c in order]).sortWithinPartitions(*[F.col(c).asc_nulls_first() for c in order])
-    ranged = cut_lineage(ranged.withColumn("_place", F.monotonically_increasing_id()))
-    part, local = F.shiftright("_place", 33), F.col("_place").bitwiseAND(F.lit((1 << 33) - 1))
-    # One row for each partition: as many as the exchange has, whatever the number of rows.
-    per_part = {r["part"]: r for r in ranged.groupBy(part.alias("part")).agg(F.count("*").alias("rows"), F.sum(size).alias("bytes")).collect()}
-    starts, n, total = {"rows": [], "bytes": []}, 0, 0
-    for p in range(max(per_part, default=-1) + 1):
-        starts["rows"].append(n)
-        starts["bytes"].append(total)
-        n += per_part[p]["rows"] if p in per_part else 0
-        total += (per_part[p]["bytes"] or 0) if p in per_part else 0
+    ranked, total, n = in_order(df, order, {"bytes": size} if law == "bytes" else {})
+    own = [F.col("row")[c].alias(c) for c in df.columns if c not in ("shard", "slot")]
     if not n:
-        return ranged.drop("_place").withColumns({"shard": F.lit(0), "slot": F.lit(0).cast("long")})
-    rank = F.element_at(long_array(starts["rows"]), (part + 1).cast("int")) + local
-    ranked = ranged.withColumn("_rank", rank)
+        return ranked.select(*own, F.lit(0).alias("shard"), F.lit(0).cast("long").alias("slot"))
     if law == "rows":
-        ranked = ranked.withColumn("shard", F.expr(f"cast(_rank * {n_shards} div {n} as int)"))
-        return ranked.withColumn("slot", F.expr(f"_rank - (shard * {n}L + {n_shards - 1}) div {n_shards}")).drop("_place", "_rank")
-    before = F.coalesce(F.sum(size).over(Window.partitionBy(part).orderBy("_place").rowsBetween(Window.unboundedPreceding, -1)), F.lit(0).cast("long"))
-    ranked = ranked.withColumn("_start", F.element_at(long_array(starts["bytes"]), (part + 1).cast("int")) + before)
-    ranked = ranked.withColumn("shard", F.expr(f"cast(least(_start * {n_shards} div {max(total, 1)}, {n_shards - 1}) as int)"))
-    first = ranked.groupBy("shard").agg(F.min("_rank").alias("_first"))
-    return ranked.join(F.broadcast(first), "shard").withColumn("slot", F.col("_rank") - F.col("_first")).drop("_place", "_rank", "_start", "_first")  # a row for each of n_shards
+        ranked = ranked.withColumn("_shard", F.expr(f"cast(rank * {n_shards} div {n} as int)"))
+        return ranked.select(*own, F.col("_shard").alias("shard"), F.expr(f"rank - (_shard * {n}L + {n_shards - 1}) div {n_shards}").alias("slot"))
+    ranked = ranked.withColumn("_shard", F.expr(f"cast(least(before_bytes * {n_shards} div {max(total['bytes'], 1)}, {n_shards - 1}) as int)"))
+    first = ranked.groupBy(F.col("_shard").alias("_of")).agg(F.min("rank").alias("_first"))
+    ranked = ranked.join(F.broadcast(first), F.col("_shard") == F.col("_of"))  # a row for each of n_shards
+    return ranked.select(*own, F.col("_shard").alias("shard"), (F.col("rank") - F.col("_first")).alias("slot"))
 
 
-def document_keys(docs: DataFrame, text: str = "text") -> dict[str, Column]:
-    """Size, checksum and curve index of a document row."""
+def label_codes(labels: DataFrame, bits: int) -> DataFrame:
+    """labels (label) to (label, code): each label's code is the share of the rows whose label sorts before it, in 2**bits parts; null sorts first.
+
+    Codes keep the labels' order, so that a range of codes is a range of labels, and cells hold about equal numbers of
+    rows; of labels that share a cell each is a neighbour of the next. Labels are counted, not gathered.
+    """
+    counted = labels.groupBy("label").agg(F.count("*").alias("n"))
+    ranked, total, _ = in_order(counted, [F.col("label")], {"n": F.col("n")})
+    return ranked.select(F.col("row.label").alias("label"), F.expr(f"before_n * {1 << bits} div {max(total['n'], 1)}").alias("code"))
+
+
+def with_code(df: DataFrame, name: str, label: Column, bits: int = BITS) -> DataFrame:
+    """df with a column ``name``: the code of its label among all of df's."""
+    codes = cut_lineage(label_codes(df.select(label.alias("label")), bits))
+    n = codes.count()
+    codes = codes.withColumnsRenamed({"label": "_label", "code": name})
+    if n <= BROADCAST_LABELS:
+        return df.join(small(codes, n, BROADCAST_LABELS), label.eqNullSafe(F.col("_label"))).drop("_label")
+    salted = df.withColumn("_salt", F.floor(F.rand(7) * SALTS).cast("int"))
+    codes = codes.withColumn("_of", F.explode(F.sequence(F.lit(0), F.lit(SALTS - 1))))
+    return salted.join(codes, label.eqNullSafe(F.col("_label")) & (F.col("_salt") == F.col("_of"))).drop("_label", "_salt", "_of")
+
+
+def document_keys(docs: DataFrame, keep: list[str] | None = None) -> DataFrame:
+    """docs (doc_id, text, lang, source, ...) to (row, id, size, text_crc32, curve): the columns to keep, or all, id, size, checksum and curve index."""
+    text = F.col("text").cast("string")
     size = F.coalesce(F.octet_length(text), F.lit(0)).cast("long") + F.lit(ROW_OVERHEAD).cast("long")
-    dims = [label_code(F.col("lang"), BITS), label_code(F.col("source"), BITS), magnitude(size, BITS)]
-    return {"size": size, "text_crc32": F.crc32(F.coalesce(F.col(text), F.lit("")).cast("binary")), "curve": hilbert_index(dims, BITS)}
+    crc = F.crc32(F.coalesce(text, F.lit("")).cast("binary"))
+    labels = [F.col(c).cast("string").alias(f"_{c}") for c in ("lang", "source")]
+    held = docs.select(F.struct(*(docs.columns if keep is None else keep)).alias("row"), F.col("doc_id").cast("long").alias("id"), size.alias("size"), crc.alias("text_crc32"), *labels)
+    coded = with_code(with_code(held, "_a", F.col("_lang")), "_b", F.col("_source"))
+    coded = with_code(coded.withColumn("_class", size_class(F.col("size"))), "_c", F.col("_class"))
+    curve = hilbert_index([F.col("_a"), F.col("_b"), F.col("_c")], BITS)
+    return coded.select("row", "id", "size", "text_crc32", curve.alias("curve"))
 
 
-def op6_hilbert_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Every document's shard (0 to 39) and slot under the law ``rows``.
+def hilbert_shards(docs: DataFrame, n_shards: int = N_SHARDS, law: str = "rows", keep: list[str] | None = None) -> DataFrame:
+    """docs to (row, id, size, text_crc32, curve, shard, slot), by the law ``rows`` or ``bytes``.
 
-    A null text has size 16 and checksum 0; null lang or source are a cell of their
-    own. Repeated rows take neighbouring slots. Extra columns are not read.
+    A null text has size 16 and checksum 0; null lang or source come first in their
+    order. Repeated rows take neighbouring slots.
     """
-    docs = read_table(spark, sf_dir, "documents")
-    keyed = docs.select("doc_id", *[c.alias(k) for k, c in document_keys(docs).items()])
-    out = shard(keyed, ["curve", "doc_id", "text_crc32", "size"])
-    return out.select("doc_id", "size", "text_crc32", F.lit("rows").alias("law"), "shard", "slot", F.lit(None).cast("int").alias("grown_shard"), "curve")
+    return shard(document_keys(docs, keep), [F.col("curve"), F.col("id"), F.col("text_crc32"), F.col("size")], n_shards, law, F.col("size"))
+
+
+def sharded(docs: DataFrame, n_shards: int = N_SHARDS, law: str = "rows") -> DataFrame:
+    """docs with ``shard`` and ``slot``; all its columns stay, but for any of these names."""
+    out = hilbert_shards(docs, n_shards, law)
+    return out.select(*[F.col("row")[c].alias(c) for c in docs.columns if c not in ("shard", "slot")], "shard", "slot")
+
+
+def op6_hilbert_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every document's shard (0 to 39) and slot under the law ``rows``. Extra columns are not read."""
+    out = hilbert_shards(read_table(spark, sf_dir, "documents"), keep=["doc_id"])
+    return out.select(F.col("id").alias("doc_id"), "size", "text_crc32", F.lit("rows").alias("law"), "shard", "slot", F.lit(None).cast("int").alias("grown_shard"), "curve")
 
 
 def _oracle() -> str:
@@ -170,18 +224,24 @@ def _oracle() -> str:
     return f"""
 WITH t AS (
   SELECT {digit}::BIGINT[] AS digit, {follow}::BIGINT[] AS follow
+), langs AS (
+  SELECT lang, ((sum(count(*)) OVER (ORDER BY lang NULLS FIRST) - count(*)) * {1 << BITS} // sum(count(*)) OVER ())::BIGINT AS a FROM documents GROUP BY lang
+), sources AS (
+  SELECT source, ((sum(count(*)) OVER (ORDER BY source NULLS FIRST) - count(*)) * {1 << BITS} // sum(count(*)) OVER ())::BIGINT AS b FROM documents GROUP BY source
 ), base AS (
-  SELECT doc_id, lang, source, hex(encode(coalesce(text, ''))) AS hx,
+  SELECT doc_id, a, b, hex(encode(coalesce(text, ''))) AS hx,
          coalesce(strlen(text), 0)::BIGINT + {ROW_OVERHEAD} AS size
-  FROM documents
+  FROM documents d JOIN langs ON d.lang IS NOT DISTINCT FROM langs.lang JOIN sources ON d.source IS NOT DISTINCT FROM sources.source
+), classed AS (
+  SELECT *, length(bin(size)) * 8 + ((size >> (length(bin(size)) - 4)) & 7) AS class FROM base
+), classes AS (
+  SELECT class, ((sum(count(*)) OVER (ORDER BY class) - count(*)) * {1 << BITS} // sum(count(*)) OVER ())::BIGINT AS c FROM classed GROUP BY class
 ), coded AS (
   SELECT doc_id, size,
          xor(list_reduce([4294967295::BIGINT] || list_transform(regexp_extract_all(hx, '..'), lambda p: ('0x' || p)::BIGINT),
              lambda acc, x: {step}), 4294967295::BIGINT) AS text_crc32,
-         coalesce(('0x' || md5(lang)[1:8])::BIGINT % 31 + 1, 0) AS a,
-         coalesce(('0x' || md5(source)[1:8])::BIGINT % 31 + 1, 0) AS b,
-         least(length(bin(size)), 31)::BIGINT AS c
-  FROM base
+         a, b, c
+  FROM classed JOIN classes USING (class)
 ), placed AS (
   SELECT doc_id, size, text_crc32,
          list_reduce([0::BIGINT, {corners}],
