@@ -1,9 +1,9 @@
 """Quality rules by host: rule failures are pooled by domain, shrunk, and joined back.
 
-A document that fails a rule of its own goes. So does every document of a host whose
-rate of failing documents, shrunk towards all hosts' rate by an empirical beta prior,
-is above ``MAX_HOST_RATE``: a host with few documents needs more evidence than its
-raw rate to be dropped, one with many is judged by what it has.
+A document that fails a rule of its own base goes. The host's verdict is about all rules (``RULES``): the rate of its documents that fail
+any of them, shrunk towards all hosts' rate by an empirical beta prior. If that is above ``MAX_LIFT`` times all hosts'
+rate, and above ``MIN_HOST_RATE``, every document of the host goes: a host with few documents needs more evidence than its
+raw rate to be dropped, one with many is judged by what it has, and where all hosts are alike none is.
 """
 
 from __future__ import annotations
@@ -15,7 +15,10 @@ from framewright.llm.common import cut_lineage, read_table, words_of
 
 MIN_WORDS = 50
 MAX_REPEAT_PERCENT = 50
-MAX_HOST_RATE = 0.5
+#: A host goes if the shrunk rate of its failing documents is above so many times the rate of all, and above the least rate.
+MAX_LIFT, MIN_HOST_RATE = 2.0, 0.4
+#: Limits of the other rules: symbols to words, lines equal to an earlier one, code points a word.
+MAX_SYMBOL_PERCENT, MAX_DUP_LINE_PERCENT, WORD_CHARS = 10, 30, (3, 10)
 SYMBOLS = "[#*$%&|<>]"
 
 
@@ -26,7 +29,7 @@ def _adjacent(pairs: Column) -> Column:
 
 
 def rule_counts(docs: DataFrame, keep: list[str], text: str = "text") -> DataFrame:
-    """keep, with n_words, word_chars, n_symbols, n_dup_lines and n_repeat_words of each text.
+    """keep, with n_words, word_chars, n_symbols, n_lines (those with a word), n_dup_lines and n_repeat_words of each text.
 
     Null and blank texts have 0 everywhere. A window of three words is known by a
     64-bit hash; within one text, equal hashes are equal windows. Windows are sorted
@@ -35,8 +38,7 @@ def rule_counts(docs: DataFrame, keep: list[str], text: str = "text") -> DataFra
     """
     body = F.coalesce(F.col(text), F.lit(""))
     lines = F.filter(F.split(body, "\n"), lambda x: x.rlike(r"[^\x20\x09-\x0D]"))
-    has_word_lines = F.when(F.instr(body, "\n") > 0, lines).otherwise(F.array().cast("array<string>"))
-    step = docs.select(*keep, words_of(F.col(text)).alias("_w"), has_word_lines.alias("_l"), F.regexp_count(body, F.lit(SYMBOLS)).cast("long").alias("n_symbols"))
+    step = docs.select(*keep, words_of(F.col(text)).alias("_w"), lines.alias("_l"), F.regexp_count(body, F.lit(SYMBOLS)).cast("long").alias("n_symbols"))
     n = F.size("_w")
     windows = F.when(n >= 3, F.zip_with(F.zip_with(F.slice("_w", 1, F.greatest(n - 2, F.lit(0))), F.slice("_w", 2, F.greatest(n - 2, F.lit(0))), lambda a, b: F.struct(a.alias("a"), b.alias("b"))), F.slice("_w", 3, F.greatest(n - 2, F.lit(0))), lambda ab, c: F.xxhash64(ab["a"], ab["b"], c)))
     step = step.select(
@@ -44,24 +46,38 @@ def rule_counts(docs: DataFrame, keep: list[str], text: str = "text") -> DataFra
         "n_symbols",
         n.cast("long").alias("n_words"),
         F.length(F.array_join("_w", "")).cast("long").alias("word_chars"),
+        F.size("_l").cast("long").alias("n_lines"),
         (F.size("_l") - F.size(F.array_distinct("_l"))).cast("long").alias("n_dup_lines"),
         F.coalesce(windows, F.array().cast("array<bigint>")).alias("_k"),
     )
     repeats = F.size(F.array_distinct("_k")) < F.size("_k")
     pairs = F.when(repeats, F.array_sort(F.transform("_k", lambda k, i: F.struct(k.alias("key"), i.alias("at")))))
-    step = step.select(*keep, "n_symbols", "n_words", "word_chars", "n_dup_lines", pairs.alias("_p"))
-    step = step.select(*keep, "n_symbols", "n_words", "word_chars", "n_dup_lines", F.array_sort(_adjacent(F.col("_p"))).alias("_at"))
+    step = step.select(*keep, "n_symbols", "n_words", "word_chars", "n_lines", "n_dup_lines", pairs.alias("_p"))
+    step = step.select(*keep, "n_symbols", "n_words", "word_chars", "n_lines", "n_dup_lines", F.array_sort(_adjacent(F.col("_p"))).alias("_at"))
     # Words covered by windows of three from places in ascending order: 3, less what the next one covers again.
     covered = F.aggregate("_at", F.struct(F.lit(0).cast("long").alias("n"), F.lit(-3).cast("long").alias("last")), lambda acc, at: F.struct((acc["n"] + F.least(F.lit(3).cast("long"), at - acc["last"])).alias("n"), at.cast("long").alias("last")))
-    return step.select(*keep, "n_words", "word_chars", "n_symbols", "n_dup_lines", F.coalesce(covered["n"], F.lit(0).cast("long")).alias("n_repeat_words"))
+    return step.select(*keep, "n_words", "word_chars", "n_symbols", "n_lines", "n_dup_lines", F.coalesce(covered["n"], F.lit(0).cast("long")).alias("n_repeat_words"))
 
 
-def base_verdict(counts: DataFrame) -> DataFrame:
-    return counts.withColumn("base_failed", (F.col("n_words") < MIN_WORDS) | (F.col("n_repeat_words") * 100 > F.col("n_words") * MAX_REPEAT_PERCENT))
+#: Rules of a document, by the counts of its text.
+RULES = {
+    "short": lambda: F.col("n_words") < MIN_WORDS,
+    "repeats": lambda: F.col("n_repeat_words") * 100 > F.col("n_words") * MAX_REPEAT_PERCENT,
+    "symbols": lambda: F.col("n_symbols") * 100 > F.col("n_words") * MAX_SYMBOL_PERCENT,
+    "dup_lines": lambda: F.col("n_dup_lines") * 100 > F.col("n_lines") * MAX_DUP_LINE_PERCENT,
+    "word_chars": lambda: (F.col("word_chars") < F.col("n_words") * WORD_CHARS[0]) | (F.col("word_chars") > F.col("n_words") * WORD_CHARS[1]),
+}
+BASE = ("short", "repeats")
 
 
-def host_rates(failures: DataFrame, host: str = "host") -> DataFrame:
-    """(host, n, failed) to the same with ``rate``, the posterior mean of the host's failure rate.
+def verdicts(counts: DataFrame) -> DataFrame:
+    """counts with base_failed, and n_failed, how many of all rules a document fails."""
+    base = RULES[BASE[0]]() | RULES[BASE[1]]()
+    return counts.withColumn("base_failed", base).withColumn("n_failed", sum((rule().cast("int") for rule in RULES.values()), F.lit(0)))
+
+
+def host_rates(failures: DataFrame, host: str = "host") -> tuple[DataFrame, float]:
+    """(host, n, failed) to the same with ``rate``, the posterior mean of the host's failure rate; and the rate of all.
 
     The prior is Beta(m*k, (1-m)*k) with m the pooled rate and k by the method of
     moments from the spread of the hosts' rates beyond what sampling explains; hosts
@@ -73,26 +89,27 @@ def host_rates(failures: DataFrame, host: str = "host") -> DataFrame:
     m = failed / n if n else 0.0
     between = (squares / n - m * m - m * (1 - m) * (hosts - 1) / n) if n else 0.0
     k = min(1e9, max(m * (1 - m) / between - 1, 0.0)) if between > 0 else 1e9
-    return failures.withColumn("rate", (F.col("failed") + F.lit(m * k)) / (F.col("n") + F.lit(k)))
+    return failures.withColumn("rate", (F.col("failed") + F.lit(m * k)) / (F.col("n") + F.lit(k))), m
 
 
-def apply_host_rules(judged: DataFrame, host: str = "host", max_rate: float = MAX_HOST_RATE) -> DataFrame:
-    """judged (with base_failed and host) to the same with host_rate and ``kept``.
+def apply_host_rules(judged: DataFrame, host: str = "host", max_lift: float = MAX_LIFT, min_rate: float = MIN_HOST_RATE) -> DataFrame:
+    """judged (with base_failed, n_failed and host) to the same with host_rate and ``kept``.
 
     A null host is no host: its rows are pooled in the prior and judged by themselves
     alone. The verdicts are joined by host; the table of hosts is sent to all executors only if
     Spark finds it small at run time, else a hot host's partition is split.
     """
-    failures = judged.groupBy(host).agg(F.count("*").alias("n"), F.sum(F.col("base_failed").cast("long")).alias("failed"))
-    failures = cut_lineage(failures)
-    rates = host_rates(failures).where(F.col(host).isNotNull()).select(F.col(host).alias("_host"), F.col("rate").alias("host_rate"))
-    return judged.join(rates, judged[host] == rates["_host"], "left").drop("_host").withColumn("kept", ~F.col("base_failed") & F.coalesce(F.col("host_rate") <= max_rate, F.lit(True)))
+    failures = judged.groupBy(host).agg(F.count("*").alias("n"), F.sum((F.col("n_failed") > 0).cast("long")).alias("failed"))
+    rates, pooled = host_rates(cut_lineage(failures), host)
+    rates = rates.where(F.col(host).isNotNull()).select(F.col(host).alias("_host"), F.col("rate").alias("host_rate"))
+    limit = max(min_rate, max_lift * pooled)
+    return judged.join(rates, judged[host] == rates["_host"], "left").drop("_host").withColumn("kept", ~F.col("base_failed") & F.coalesce(F.col("host_rate") <= limit, F.lit(True)))
 
 
 def op8_host_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Rule counts and verdict of every document; its host is its source. Extra columns are not read."""
     docs = read_table(spark, sf_dir, "documents")
-    judged = base_verdict(rule_counts(docs.select("doc_id", F.col("source").alias("host"), "text"), ["doc_id", "host"]))
+    judged = verdicts(rule_counts(docs.select("doc_id", F.col("source").alias("host"), "text"), ["doc_id", "host"]))
     out = apply_host_rules(cut_lineage(judged))
     return out.select("doc_id", "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "base_failed", "kept", F.round("host_rate", 6).alias("host_rate"))
 
@@ -111,12 +128,15 @@ WITH w AS (
 ), counts AS (
   SELECT w.doc_id, source AS host, len(w)::BIGINT AS n_words, length(array_to_string(w, ''))::BIGINT AS word_chars,
          (length(text) - length(regexp_replace(text, '{SYMBOLS}', '', 'g')))::BIGINT AS n_symbols,
-         (len(l) - len(list_distinct(l)))::BIGINT AS n_dup_lines, coalesce(c, 0)::BIGINT AS n_repeat_words
+         len(l) AS n_lines, (len(l) - len(list_distinct(l)))::BIGINT AS n_dup_lines, coalesce(c, 0)::BIGINT AS n_repeat_words
   FROM w LEFT JOIN covered ON w.doc_id = covered.doc_id
 ), judged AS (
-  SELECT *, n_words < {MIN_WORDS} OR 100 * n_repeat_words > {MAX_REPEAT_PERCENT} * n_words AS base_failed FROM counts
+  SELECT *, n_words < {MIN_WORDS} OR 100 * n_repeat_words > {MAX_REPEAT_PERCENT} * n_words AS base_failed,
+         n_words < {MIN_WORDS} OR 100 * n_repeat_words > {MAX_REPEAT_PERCENT} * n_words OR 100 * n_symbols > {MAX_SYMBOL_PERCENT} * n_words
+         OR 100 * n_dup_lines > {MAX_DUP_LINE_PERCENT} * n_lines OR word_chars NOT BETWEEN {WORD_CHARS[0]} * n_words AND {WORD_CHARS[1]} * n_words AS any_failed
+  FROM counts
 ), hosts AS (
-  SELECT host, count(*) AS n, sum(base_failed::INT) AS failed FROM judged GROUP BY host
+  SELECT host, count(*) AS n, sum(any_failed::INT) AS failed FROM judged GROUP BY host
 ), pooled AS (
   SELECT sum(failed) / sum(n) AS m, sum(failed * failed / n) / sum(n) AS sq, count(*) AS hosts, sum(n) AS n FROM hosts
 ), spread AS (
@@ -127,7 +147,7 @@ WITH w AS (
   SELECT host, (failed + m * k) / (n + k) AS rate FROM hosts, prior WHERE host IS NOT NULL
 )
 SELECT doc_id, n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words, base_failed,
-       NOT base_failed AND coalesce(rate <= {MAX_HOST_RATE}, true) AS kept, round(rate, 6) AS host_rate
+       NOT base_failed AND coalesce(rate <= (SELECT greatest({MIN_HOST_RATE}, {MAX_LIFT} * m) FROM pooled), true) AS kept, round(rate, 6) AS host_rate
 FROM judged LEFT JOIN rates ON judged.host = rates.host
 """
 

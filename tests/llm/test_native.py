@@ -3,12 +3,14 @@
 from __future__ import annotations
 
 import itertools
+import random
 
 import pytest
 from framewright.llm import licenses, linededup, mixing, quality, sharding
 from framewright.llm.common import uniform
 from pyspark.sql import functions as F
-from tests.llm.data import SCHEMA, documents
+from tests.llm.data import SCHEMA, documents, sentence
+from tests.oracle import TABLES, assert_same
 
 
 @pytest.mark.parametrize("dims,bits", [(2, 4), (3, 3), (4, 2)])
@@ -25,7 +27,7 @@ def test_the_curve_visits_neighbours(spark, dims, bits):
 @pytest.mark.parametrize("n", [0, 1, 7, 500])
 def test_shards_keep_their_law(spark, law, n):
     df = spark.range(n).select(F.lit(5).alias("curve"), (n - F.col("id")).alias("doc_id"), (F.col("id") % 90 + 1).alias("size"))
-    rows = sharding.shard(df, ["curve", "doc_id"], 8, law).collect()
+    rows = sharding.shard(df, [F.col("curve"), F.col("doc_id")], 8, law, F.col("size")).collect()
     assert len(rows) == n
     shards = [[r for r in rows if r["shard"] == k] for k in range(8)]
     for own in shards:
@@ -39,9 +41,42 @@ def test_shards_keep_their_law(spark, law, n):
         assert max(sizes) - min(sizes) <= 2 * 90
 
 
+def test_shards_keep_all_columns(spark):
+    docs = spark.createDataFrame([(*r, 77, 88) for r in documents()], SCHEMA + ", _rank long, curve long")
+    out = sharding.sharded(docs)
+    assert out.columns == [c for c in docs.columns if c != "shard"] + ["shard", "slot"]
+    assert sorted(map(str, out.drop("shard", "slot").collect())) == sorted(map(str, docs.drop("shard").collect()))
+
+
+def test_codes_keep_the_labels_order(spark, monkeypatch):
+    labels = [None] * 3 + ["a"] * 50 + ["b"] + ["hot"] * 100 + [f"s{i:03d}" for i in range(200)]
+    df = spark.createDataFrame([(x,) for x in labels], "x string")
+    for most in (sharding.BROADCAST_LABELS, 0):
+        monkeypatch.setattr(sharding, "BROADCAST_LABELS", most)
+        got = {r["x"]: r["c"] for r in sharding.with_code(df, "c", F.col("x"), 4).collect()}
+        order = sorted(set(labels), key=lambda x: (x is not None, x or ""))
+        assert got == {x: sum((y is not None, y or "") < (x is not None, x or "") for y in labels) * 16 // len(labels) for x in order}
+
+
+def test_files_are_passed_over_by_every_dimension(spark):
+    """Of 40 shards, those whose minima and maxima meet a filter: all of them in the order of ids, few in the curve's."""
+    rng = random.Random(6)
+    rows = [(i, "x" * int(2 ** rng.uniform(4, 12)), rng.choice(["de", "en", "es", "fr", "it", "ja", "pl", "zh"]), f"host{rng.randrange(60):02d}") for i in range(8000)]
+    out = sharding.sharded(spark.createDataFrame(rows, "doc_id long, text string, lang string, source string")).collect()
+
+    def met(groups) -> dict[str, float]:
+        boxes = [[(min(v), max(v)) for v in ([r[2] for r in g], [r[3] for r in g], [len(r[1]) for r in g])] for g in groups]
+        asked = {"lang": (0, sorted({r[2] for r in rows})), "source": (1, sorted({r[3] for r in rows})), "size": (2, [20, 60, 200, 700, 2500])}
+        return {name: sum(b[k][0] <= v <= b[k][1] for b in boxes for v in values) / len(values) for name, (k, values) in asked.items()}
+
+    by_id, by_curve = met([rows[200 * k : 200 * (k + 1)] for k in range(40)]), met([[r for r in out if r["shard"] == k] for k in range(40)])
+    assert all(v > 38 for v in by_id.values())
+    assert by_curve["lang"] < 20 and by_curve["source"] < 20 and by_curve["size"] < 20
+
+
 def test_plans_have_no_python(spark):
     docs = spark.createDataFrame(documents(), SCHEMA)
-    plans = [licenses.license_scan(docs), quality.rule_counts(docs, ["doc_id"]), docs.select(sharding.document_keys(docs)["curve"])]
+    plans = [licenses.license_scan(docs), quality.rule_counts(docs, ["doc_id"]), sharding.document_keys(docs)]
     for df in plans:
         assert not any(k in df._jdf.queryExecution().executedPlan().toString() for k in ("Python", "Pandas", "ArrowEval", "Cartesian", "NestedLoop"))
 
@@ -90,14 +125,34 @@ def test_mixed_documents_keep_their_columns(spark):
 
 
 def test_small_host_needs_more_evidence(spark):
-    rows = [("bad", True)] * 90 + [("bad", False)] * 10 + [("good", False)] * 400 + [("good", True)] * 20 + [("new", True)] + [(None, True)] * 3 + [(None, False)]
-    out = quality.apply_host_rules(spark.createDataFrame(rows, "host string, base_failed boolean")).collect()
+    rows = [("bad", 1)] * 90 + [("bad", 0)] * 10 + [("good", 0)] * 400 + [("good", 2)] * 20 + [("new", 1)] + [(None, 1)] * 3 + [(None, 0)]
+    df = spark.createDataFrame(rows, "host string, n_failed int").withColumn("base_failed", F.col("n_failed") > 1)
+    out = quality.apply_host_rules(df).collect()
     rate = {r["host"]: r["host_rate"] for r in out}
     assert rate["bad"] > 0.8 and rate["good"] < 0.1 and rate["new"] < 0.95 and rate[None] is None
     assert not any(r["kept"] for r in out if r["host"] == "bad" or r["base_failed"])
     assert all(r["kept"] for r in out if r["host"] in ("good", None) and not r["base_failed"])
 
 
+def test_a_bad_host_goes_by_several_rules(spark, tmp_path):
+    """Query and SQL on a table with a host most of whose documents have too many symbols, which no base rule minds."""
+    rng = random.Random(4)
+    rows = []
+    for i in range(400):
+        text = " ".join(f"{sentence(rng, 'en', 1)}{k}" for k in range(rng.choice([20, 60, 60, 60, 60, 80])))
+        host = f"h{i % 8}"
+        rows.append((i, text.replace(" ", " # ", 30) if host == "h3" and i % 5 else text, "en", host, len(text)))
+    spark.createDataFrame(rows, "doc_id long, text string, lang string, source string, n_chars long").coalesce(1).write.parquet(str(tmp_path / "d"))
+    next((tmp_path / "d").glob("*.parquet")).rename(tmp_path / "documents.parquet")
+    for name in TABLES:
+        if name != "documents":
+            (tmp_path / f"{name}.parquet").symlink_to(f"/root/testdata/sf0.001/{name}.parquet")
+    assert_same(spark, quality.op8_host_rules, quality.ORACLE_SQL, str(tmp_path))
+    got = {r["doc_id"]: r for r in quality.op8_host_rules(spark, str(tmp_path)).collect()}
+    assert not any(got[r[0]]["kept"] for r in rows if r[3] == "h3") and any(not got[r[0]]["base_failed"] for r in rows if r[3] == "h3")
+    assert all(got[r[0]]["kept"] != got[r[0]]["base_failed"] for r in rows if r[3] != "h3")
+
+
 def test_rule_counts_of_small_texts(spark):
     texts = {"a b c a b c": 6, "a b c d a b c": 6, "a a a a": 4, "a a a": 0, "x y": 0, "": 0, "a b c\na b c\n\n x ": 6}
     rows = spark.createDataFrame([(i, t) for i, t in enumerate(texts)], "doc_id long, text string")
