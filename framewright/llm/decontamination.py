@@ -3,7 +3,8 @@
 Seeds, runs of ``MIN_MATCH`` tokens that a document shares with an item, name the pairs to
 compare. For each pair greedy string tiling covers the item with the longest
 stretches it shares with the document, none of them twice; a document that covers at
-least ``MIN_COVERAGE`` of an item's tokens is contaminated. Stretches may stand in any order.
+least ``MIN_COVERAGE`` of an item's tokens is contaminated. Stretches may stand in any order. An item of
+fewer than ``MIN_MATCH`` tokens is in no pair: so few words stand in clean texts by chance.
 """
 
 from __future__ import annotations
@@ -43,43 +44,42 @@ def _hashes(ids: np.ndarray, length: int) -> np.ndarray:
 
 
 class Items:
-    """Items of one block with their seeds. Items shorter than min_match have a seed of their own length."""
+    """Items of one block with their seeds; those shorter than min_match have none and are left out."""
 
     def __init__(self, rows: list[tuple[int | None, str | None]], min_match: int = MIN_MATCH):
         self.words: dict[str, int] = {}
         self.items: list[tuple[int | None, list[int]]] = []
-        seeds: dict[int, dict[int, set[int]]] = {}
+        seeds: dict[int, set[int]] = {}
         for item_id, text in rows:
             ids = [self.words.setdefault(w, len(self.words)) for w in tokens(text)]
-            if not ids:
+            if len(ids) < min_match:
                 continue
-            length = min(min_match, len(ids))
-            for value in _hashes(np.array(ids, np.int64), length).tolist():
-                seeds.setdefault(length, {}).setdefault(value, set()).add(len(self.items))
+            for value in _hashes(np.array(ids, np.int64), min_match).tolist():
+                seeds.setdefault(value, set()).add(len(self.items))
             self.items.append((item_id, ids))
         self.min_match = min_match
-        self.seeds = [(length, np.array(sorted(found), np.uint64), found) for length, found in sorted(seeds.items())]
+        self.seeds, self.hashes = seeds, np.array(sorted(seeds), np.uint64)
 
     def _candidates(self, ids: np.ndarray) -> dict[int, set[int]]:
         """Of a block of ids: items, and the places at which a seed of theirs starts. Hashes only name candidates."""
         out: dict[int, set[int]] = {}
-        for length, hashes, items in self.seeds:
-            if len(ids) < length:
-                continue
-            unknown = np.concatenate(([0], np.cumsum(ids < 0)))
-            at = np.nonzero(unknown[length:] == unknown[:-length])[0]
-            value = _hashes(ids, length)[at]
-            place = np.minimum(np.searchsorted(hashes, value), len(hashes) - 1)
-            hit = hashes[place] == value
-            for start, v in zip(at[hit].tolist(), value[hit].tolist(), strict=True):
-                for item in items[v]:
-                    out.setdefault(item, set()).add(start)
+        length = self.min_match
+        if len(ids) < length or not self.seeds:
+            return out
+        unknown = np.concatenate(([0], np.cumsum(ids < 0)))
+        at = np.nonzero(unknown[length:] == unknown[:-length])[0]
+        value = _hashes(ids, length)[at]
+        place = np.minimum(np.searchsorted(self.hashes, value), len(self.hashes) - 1)
+        hit = self.hashes[place] == value
+        for start, v in zip(at[hit].tolist(), value[hit].tolist(), strict=True):
+            for item in self.seeds[v]:
+                out.setdefault(item, set()).add(start)
         return out
 
     def cover(self, item: int, ids: np.ndarray, starts: set[int]) -> tuple[int, int]:
         """Tiles of the item found in a document, and its covered tokens. Tiles lie where seeds do, so only there is looked."""
         pattern = self.items[item][1]
-        length = min(self.min_match, len(pattern))
+        length = self.min_match
         text: list[int] = []
         end = None
         for s in sorted(starts):
@@ -142,7 +142,7 @@ def contaminated_pairs(docs: DataFrame, benchmark: DataFrame, min_coverage: floa
     """(doc_id, text) and (item_id, text) to a row for each pair over the threshold: doc_id, item_id, n_tiles, covered, n_tokens, coverage.
 
     No exchange: the documents are read once for each block of items. Null and empty
-    texts, of documents or items, are in no pair. Repeated rows each give their pairs.
+    texts, of documents or items, and items shorter than min_match tokens are in no pair. Repeated rows each give their pairs.
     """
     docs = docs.select(F.col("doc_id").cast("long"), F.col("text").cast("string"))
     schema = "doc_id long, item_id long, n_tiles long, covered long, n_tokens long, coverage double"

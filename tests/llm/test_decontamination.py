@@ -71,8 +71,8 @@ def _want(rows: list[tuple]) -> list[tuple]:
         words = decontamination.tokens(r[1])
         for item_id, text in _items():
             own = decontamination.tokens(text)
-            if own:
-                found = _naive(own, words, min(decontamination.MIN_MATCH, len(own)))
+            if len(own) >= decontamination.MIN_MATCH:
+                found = _naive(own, words, decontamination.MIN_MATCH)
                 covered = sum(n for _, _, n in found)
                 if covered >= decontamination.MIN_COVERAGE * len(own):
                     want.append((r[0], item_id, len(found), covered, len(own), covered / len(own)))
@@ -105,3 +105,10 @@ def test_filter_drops_the_pairs_documents_only(spark):
     kept = decontamination.drop_contaminated(docs, items)
     assert kept.columns == docs.columns
     assert sorted(r["doc_id"] for r in kept.collect()) == sorted(r[0] for r in rows if r[0] not in bad)
+
+
+def test_an_item_of_few_words_condemns_nothing(spark):
+    docs = spark.createDataFrame([(1, "yes and no, one two three four five six"), (2, "one two three four five")], "doc_id long, text string")
+    items = spark.createDataFrame([(1, "yes"), (2, "and no"), (3, "one two three four"), (4, "one two three four five")], "item_id long, text string")
+    assert sorted((r["doc_id"], r["item_id"]) for r in decontamination.contaminated_pairs(docs, items).collect()) == [(1, 4), (2, 4)]
+    assert decontamination.drop_contaminated(docs, items.where("item_id < 4")).count() == 2
