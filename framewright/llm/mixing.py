@@ -25,6 +25,8 @@ BUCKET_ROWS = 50_000
 MIN_BUCKETS = 64
 #: Documents that go in or out one by one after the cut, to bring a source nearer its target.
 FIT_STEPS = 3
+#: Halvings of the interval in which the fraction of a source's documents is looked for.
+HALVINGS = 60
 #: Most sources of a plan that is sent to all executors: some MB at a few hundred bytes each.
 BROADCAST_SOURCES = 10_000
 #: A source's rows are dealt over so many tasks where they meet its targets.
@@ -56,13 +58,28 @@ def pareto_rank(fraction: Column, exposure: Column, u: Column) -> Column:
     """Random odds over inclusion odds, as a number in (0, 1); ascending order is the sample's order.
 
     A document of exposure g is included with probability p = 1 - (1 - fraction)^g, so that
-    exposures of any size give probabilities below 1.
+    exposures of any size give probabilities below 1; the fraction is such that the probabilities times the sizes add up to what is left (``plan_mix``).
     """
     p = F.lit(1.0) - F.pow(F.lit(1.0) - fraction, exposure)
     q = (u / (F.lit(1.0) - u)) / (p / (F.lit(1.0) - p))
     return F.when((p > 0) & (p < 1), q / (F.lit(1.0) + q)).otherwise(u)
 
 
+def _fraction() -> Column:
+    """The f for which sizes times 1 - (1 - f)^exposure, summed over ``classes`` (exposure, class_size), are ``left``: by halving (0, 1)."""
+
+    def taken(f: Column) -> Column:
+        return F.aggregate("classes", F.lit(0.0), lambda acc, c: acc + c["class_size"].cast("double") * (F.lit(1.0) - F.pow(F.lit(1.0) - f, c["exposure"])))
+
+    def half(acc: Column, _: Column) -> Column:
+        middle = (acc["low"] + acc["high"]) / 2
+        short = taken(middle) < F.col("left")
+        return F.struct(F.when(short, middle).otherwise(acc["low"]).alias("low"), F.when(short, acc["high"]).otherwise(middle).alias("high"))
+
+    found = F.aggregate(F.sequence(F.lit(1), F.lit(HALVINGS)), F.struct(F.lit(0.0).alias("low"), F.lit(1.0).alias("high")), half)
+    return found["high"]
+
+
 def by_source(left: DataFrame, right: DataFrame, how: str) -> DataFrame:
     """left joined to right by source, with null equal to null."""
     right = right.withColumnRenamed("source", "_source")
@@ -110,13 +127,17 @@ def plan_mix(rows: DataFrame, max_copies: int = MAX_COPIES, seed: str = SEED) ->
     buckets, sums by bucket find the one through which the cut goes, and only that
     bucket's rows, about ``BUCKET_ROWS``, are sorted together.
     """
-    sums = cut_lineage(rows.groupBy("source").agg(F.coalesce(F.sum("size"), F.lit(0)).alias("source_size"), F.count("*").alias("n_rows")))
+    # A row for each source and exposure; exposures are a few classes.
+    classes = rows.groupBy("source", "exposure").agg(F.coalesce(F.sum("size"), F.lit(0)).alias("class_size"), F.count("*").alias("n"))
+    classed = F.collect_list(F.struct("exposure", "class_size")).alias("classes")
+    sums = cut_lineage(classes.groupBy("source").agg(F.sum("class_size").alias("source_size"), F.sum("n").alias("n_rows"), F.sort_array(classed).alias("classes")))
     per_copy = F.when(F.col("source_size") > 0, F.col("target") / F.col("source_size")).otherwise(F.lit(0.0))
     plan = (
-        source_targets(sums, max_copies)
+        by_source(source_targets(sums.drop("classes"), max_copies), sums.select("source", "classes"), "inner")
         .withColumn("whole", F.least(F.floor(per_copy), F.lit(max_copies)).cast("long"))
         .withColumn("left", F.greatest(F.col("target") - F.col("whole") * F.col("source_size"), F.lit(0.0)))
-        .withColumn("fraction", F.when(F.col("source_size") > 0, F.col("left") / F.col("source_size")).otherwise(F.lit(0.0)))
+        .withColumn("fraction", F.when(F.col("left") > 0, _fraction()).otherwise(F.lit(0.0)))
+        .drop("classes")
         .withColumn("buckets", F.greatest(F.lit(MIN_BUCKETS), F.ceil(F.col("n_rows") / BUCKET_ROWS)))
     )
     plan = cut_lineage(plan)
@@ -221,19 +242,23 @@ WITH base AS (
          (('0x' || md5('{SEED}|' || doc_id)[1:13])::BIGINT::DOUBLE + 0.5::DOUBLE) / {2**52}::DOUBLE AS u
   FROM base
 ), s AS (
-  SELECT source, sum(size)::BIGINT AS source_size, count(*) AS n_rows FROM rows GROUP BY source
+  SELECT source, sum(size)::BIGINT AS source_size, count(*) AS n_rows,
+         coalesce(sum(size) FILTER (exposure = 1), 0)::DOUBLE AS s1, coalesce(sum(size) FILTER (exposure < 1), 0)::DOUBLE AS sh
+  FROM rows GROUP BY source
 ), w AS (
   SELECT *, ((row_number() OVER (ORDER BY source NULLS LAST) - 1) % {WEIGHT_CYCLE} + 1)::DOUBLE AS w, source_size * {MAX_COPIES}::DOUBLE AS cap FROM s
 ), lv AS (
   SELECT *, (sum(source_size::DOUBLE) OVER () - coalesce(sum(cap) OVER before, 0)) / (sum(w) OVER () - coalesce(sum(w) OVER before, 0)) AS level
   FROM w WINDOW before AS (ORDER BY cap / w, source NULLS LAST ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING)
 ), tg AS (
-  SELECT source, source_size, n_rows, least(cap, w * max(level) OVER ()) AS target FROM lv
+  SELECT source, source_size, n_rows, s1, sh, least(cap, w * max(level) OVER ()) AS target FROM lv
 ), fr AS (
   SELECT *, CASE WHEN source_size > 0 THEN least(floor(target / source_size), {MAX_COPIES})::BIGINT ELSE 0 END AS whole FROM tg
 ), pl AS (
   SELECT *, greatest(target - whole * source_size, 0)::DOUBLE AS l,
-         CASE WHEN source_size > 0 THEN greatest(target - whole * source_size, 0)::DOUBLE / source_size ELSE 0 END AS f FROM fr
+         -- s1 (1 - u * u) + sh (1 - u) = l, where u * u is 1 - f
+         CASE WHEN target <= whole * source_size THEN 0 WHEN s1 = 0 THEN 1 - power((sh - (target - whole * source_size)) / sh, 2)
+              ELSE 1 - power((sqrt(sh * sh + 4 * s1 * greatest(s1 + sh - (target - whole * source_size), 0)) - sh) / (2 * s1), 2) END AS f FROM fr
 ), pr AS (
   SELECT r.*, p.source_size, p.target, p.whole, p.l, p.f, 1.0::DOUBLE - power(1.0::DOUBLE - p.f, r.exposure) AS p
   FROM rows r JOIN pl p ON r.source IS NOT DISTINCT FROM p.source

@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import itertools
+import math
 import random
 
 import pytest
@@ -111,6 +112,20 @@ def test_exposure_sets_the_odds(spark):
     assert rate[1.0] > 1.5 * rate[0.25] > 0
 
 
+def test_documents_are_drawn_by_their_odds(spark):
+    """Sources of one make are draws of one kind: shares are the probabilities whose sizes add up to what is left, half of a source here."""
+    rows = [(60 * k + i, f"s{k:02d}", 5 + i % 11, 1.0 if i % 3 else 0.5) for k in range(90) for i in range(60)]
+    out = [r for r in _mix(spark, rows) if int(r["source"][1:]) % 3 != 1]  # weights 1 and 3, of 1, 2 and 3
+    sizes = {e: sum(r[2] for r in rows[:60] if r[3] == e) for e in (1.0, 0.5)}
+    whole = {0: 0, 2: 1}
+    drawn = {e: sum(r["size"] * (r["copies"] - whole[int(r["source"][1:]) % 3]) for r in out if r["exposure"] == e) / 60 for e in (1.0, 0.5)}
+    total = sum(sizes.values())
+    assert {round(r["target"]) for r in out} == {round(total / 2), round(total * 1.5)}
+    u = (math.sqrt(sizes[0.5] ** 2 + 4 * sizes[1.0] * total / 2) - sizes[0.5]) / (2 * sizes[1.0])
+    assert drawn[1.0] / sizes[1.0] == pytest.approx(1 - u * u, abs=0.03)
+    assert drawn[0.5] / sizes[0.5] == pytest.approx(1 - u, abs=0.04)
+
+
 def test_uniform_is_even(spark):
     counts = spark.range(4000).select(F.floor(uniform(F.lit("x"), F.col("id")) * 8).alias("b")).groupBy("b").count().collect()
     assert len(counts) == 8 and all(400 < r["count"] < 600 for r in counts)
