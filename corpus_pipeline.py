@@ -47,7 +47,7 @@ STAGES = [
     ("hilbert_sharding", hilbert_sharding),
 ]
 
-#: A network, fingerprints and tilings have no SQL; tests compare run() with a brute-force version.
+#: A network, similar sets and tilings have no SQL; test_run_is_brute_force compares run() with plain versions of the stages.
 ORACLE_SQL = None
 
 
