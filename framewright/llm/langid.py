@@ -32,15 +32,15 @@ TRAIN_BYTES = 64
 MAX_LANGUAGES = 200
 #: Letters that a window must have to be trained on.
 TRAIN_LETTERS = 8
-HIDDEN, STEPS, BATCH, RATE, SEED = 12, 200, 192, 0.02, 7
+HIDDEN, STEPS, BATCH, RATE, SEED = 12, 300, 192, 0.02, 7
 UNKNOWN = "und"
 CORE, CONTEXT = 224, 16
 WINDOW = CORE + 2 * CONTEXT
 #: A text's last window is filled up with blanks to a multiple of so many bytes.
 STEP = 32
 BLOCK_BYTES = 2_000_000
-#: ``keep_identified`` rejects documents of whose letters no language has so much of the probability.
-MIN_SCORE = 0.5
+#: ``keep_identified`` rejects documents of whose letters no language has so much of the probability: one that is half in another language stays.
+MIN_SCORE = 0.4
 _LETTER = np.zeros(256, bool)
 _LETTER[[*range(97, 123), *range(128, 256)]] = True
 _BLANK = 32

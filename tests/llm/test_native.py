@@ -7,6 +7,7 @@ import math
 import random
 
 import pytest
+import xxhash
 from framewright.llm import licenses, linededup, mixing, quality, sharding
 from framewright.llm.common import uniform
 from pyspark.sql import functions as F
@@ -183,6 +184,40 @@ def test_lines_of_a_run_keep_one_window(spark):
     assert [tuple(s) for s in got[2]["spans"]] == [(1, 2), (4, 4)] and got[5]["n_removed"] == 6
 
 
+def _plain_line_dedup(rows: list[tuple]) -> list[tuple]:
+    """(doc_id, text) to the same, shortened, by the definition; equal rows are one document."""
+    order = {t: xxhash.xxh64_intdigest((t or "").encode(), 42) for _, t in rows}
+    order = {t: h - (1 << 64) if h >> 63 else h for t, h in order.items()}
+    docs = sorted({r for r in rows if r[1] is not None}, key=lambda r: (r[0] is not None, r[0] or 0, order[r[1]]))
+    lines = {d: [(i, x.strip(" \t\n\x0b\x0c\r")) for i, x in enumerate(d[1].split("\n")) if x.strip(" \t\n\x0b\x0c\r")] for d in docs}
+    first, gone, several = {}, {d: set() for d in docs}, {}
+    for d in docs:
+        for w in range(len(lines[d]) - 2):
+            key = tuple(x for _, x in lines[d][w : w + 3])
+            several.setdefault(key, []).append((d, w))
+            first.setdefault(key, (d, w))
+    for key, places in several.items():
+        for d, w in places:
+            if (d, w) != first[key]:
+                kept = set(range(first[key][1], first[key][1] + 3)) if d == first[key][0] else set()
+                gone[d] |= {lines[d][k][0] for k in range(w, w + 3) if k not in kept}
+    return [(i, t if t is None or not gone[i, t] else "\n".join(x for k, x in enumerate(t.split("\n")) if k not in gone[i, t])) for i, t in rows]
+
+
+def test_line_dedup_is_brute_force_with_repeated_and_missing_ids(spark, monkeypatch):
+    rng = random.Random(3)
+    rows = [(1, "a\nb\nc"), (2, "a\nb\nc\nd"), (2, "x\ny\nz\nw"), (None, "p\nq\nr"), (None, "a\nb\nc"), (7, None), (None, None), (8, ""), (2, "x\ny\nz\nw")]
+    for _ in range(60):
+        rows.append((rng.choice([None, *range(20)]), "\n".join(rng.choice(["a", " b", "c\t", "d", "", "e"]) for _ in range(rng.randint(0, 9)))))
+    rows += rows[10:14]
+    df = spark.createDataFrame(rows, "doc_id long, text string")
+    for most in (linededup.BROADCAST_ROWS, 0):
+        monkeypatch.setattr(linededup, "BROADCAST_ROWS", most)
+        got = linededup.line_dedup(df).select("doc_id", "text").collect()
+        assert sorted(map(tuple, got), key=str) == sorted(_plain_line_dedup(rows), key=str)
+    assert (2, "x\ny\nz\nw") in map(tuple, got)
+
+
 def test_line_dedup_keeps_columns(spark):
     docs = spark.createDataFrame(documents(), SCHEMA)
     out = linededup.line_dedup(docs)

@@ -39,7 +39,7 @@ def test_language_id_keeps_what_it_can_name(spark, stages):
     want = []
     for r in stages[0].where("length(text) < 2500").collect():
         lang, score = _plain(model, r["text"])
-        if lang != "und" and score >= 0.5:
+        if lang != "und" and score >= langid.MIN_SCORE:
             want.append(r["doc_id"])
     assert sorted(r["doc_id"] for r in stages[1].where("length(text) < 2500").collect()) == sorted(want)
 
@@ -93,7 +93,7 @@ def test_run_is_brute_force(spark, tmp_path, monkeypatch):
     model = langid.train(spark.read.parquet(str(folder / "documents.parquet")), steps=60)
     monkeypatch.setattr(langid, "train", lambda docs: model)
 
-    kept = [r for r in rows if (p := _plain(model, r[1]))[0] != "und" and p[1] >= 0.5]
+    kept = [r for r in rows if (p := _plain(model, r[1]))[0] != "und" and p[1] >= langid.MIN_SCORE]
     first = _brute([(r[0], r[1]) for r in kept])
     kept = [r for r in kept if first[r[0]] == r[0]]
     n = len(kept)
