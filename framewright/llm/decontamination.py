@@ -23,7 +23,7 @@ from framewright.llm.tiling import tiles
 MIN_MATCH = 5
 MIN_COVERAGE = 0.5
 #: Bytes of items' texts that are sent to all executors at once; more go in several passes.
-BLOCK_BYTES = 8_000_000
+BLOCK_BYTES = 32_000_000
 #: Tokens of documents that are hashed together.
 BLOCK_TOKENS = 500_000
 _FACTOR = np.uint64(0x9E3779B97F4A7C15)
@@ -44,41 +44,46 @@ def _hashes(ids: np.ndarray, length: int) -> np.ndarray:
 
 
 class Items:
-    """Items of one block with their seeds; those shorter than min_match have none and are left out."""
+    """Items of one block with their seeds, as sorted arrays of 12 bytes a seed; items shorter than min_match have none and are left out."""
 
     def __init__(self, rows: list[tuple[int | None, str | None]], min_match: int = MIN_MATCH):
         self.words: dict[str, int] = {}
-        self.items: list[tuple[int | None, list[int]]] = []
-        seeds: dict[int, set[int]] = {}
+        self.items: list[tuple[int | None, np.ndarray]] = []
+        hashes, owners = [np.zeros(0, np.uint64)], [np.zeros(0, np.int32)]
         for item_id, text in rows:
-            ids = [self.words.setdefault(w, len(self.words)) for w in tokens(text)]
-            if len(ids) < min_match:
+            words = tokens(text)
+            if len(words) < min_match:
                 continue
-            for value in _hashes(np.array(ids, np.int64), min_match).tolist():
-                seeds.setdefault(value, set()).add(len(self.items))
+            ids = np.array([self.words.setdefault(w, len(self.words)) for w in words], np.int32)
+            own = np.unique(_hashes(ids, min_match))
+            hashes.append(own)
+            owners.append(np.full(len(own), len(self.items), np.int32))
             self.items.append((item_id, ids))
         self.min_match = min_match
-        self.seeds, self.hashes = seeds, np.array(sorted(seeds), np.uint64)
+        self.hashes, self.owners = np.concatenate(hashes), np.concatenate(owners)
+        order = np.argsort(self.hashes, kind="stable")
+        self.hashes, self.owners = self.hashes[order], self.owners[order]
 
     def _candidates(self, ids: np.ndarray) -> dict[int, set[int]]:
         """Of a block of ids: items, and the places at which a seed of theirs starts. Hashes only name candidates."""
         out: dict[int, set[int]] = {}
         length = self.min_match
-        if len(ids) < length or not self.seeds:
+        if len(ids) < length or not len(self.hashes):
             return out
         unknown = np.concatenate(([0], np.cumsum(ids < 0)))
         at = np.nonzero(unknown[length:] == unknown[:-length])[0]
         value = _hashes(ids, length)[at]
-        place = np.minimum(np.searchsorted(self.hashes, value), len(self.hashes) - 1)
-        hit = self.hashes[place] == value
-        for start, v in zip(at[hit].tolist(), value[hit].tolist(), strict=True):
-            for item in self.seeds[v]:
+        first = np.searchsorted(self.hashes, value)
+        hit = self.hashes[np.minimum(first, len(self.hashes) - 1)] == value
+        last = np.searchsorted(self.hashes, value[hit], "right")
+        for start, a, b in zip(at[hit].tolist(), first[hit].tolist(), last.tolist(), strict=True):
+            for item in self.owners[a:b].tolist():
                 out.setdefault(item, set()).add(start)
         return out
 
     def cover(self, item: int, ids: np.ndarray, starts: set[int]) -> tuple[int, int]:
         """Tiles of the item found in a document, and its covered tokens. Tiles lie where seeds do, so only there is looked."""
-        pattern = self.items[item][1]
+        pattern = self.items[item][1].tolist()
         length = self.min_match
         text: list[int] = []
         end = None
