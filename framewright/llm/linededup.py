@@ -12,11 +12,13 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from framewright.llm.common import cut_lineage, read_table
+from framewright.llm.common import cut_lineage, read_table, small
 
 WINDOW = 3
 #: A window's occurrences are dealt over so many tasks, for one window may have most of them.
 SALTS = 16
+#: Documents that lose lines, and lines lost, that are sent to all executors at most (some 16 bytes each); more are joined by an exchange.
+BROADCAST_ROWS = 500_000
 
 
 def _lines(text: Column) -> Column:
@@ -26,44 +28,45 @@ def _lines(text: Column) -> Column:
 
 
 def windows(docs: DataFrame) -> DataFrame:
-    """(doc_id, text) to a row for each window: doc_id, w (its number in the document), at (its lines' places), h1 and h2, a 128-bit hash of its lines."""
-    lines = docs.select("doc_id", _lines(F.col("text")).alias("l")).where(F.size("l") >= WINDOW)
+    """(doc_id, text) to a row for each window: doc_id, t (a hash of the text), w (its number in the document), at (its lines' places), h1 and h2, a 128-bit hash of its lines."""
+    lines = docs.select("doc_id", F.xxhash64("text").alias("t"), _lines(F.col("text")).alias("l")).where(F.size("l") >= WINDOW)
     n = F.size("l") - (WINDOW - 1)
-    rows = lines.select("doc_id", F.posexplode(F.arrays_zip(F.slice("l", 1, n).alias("a"), F.slice("l", 2, n).alias("b"), F.slice("l", 3, n).alias("c"))).alias("w", "x"))
+    rows = lines.select("doc_id", "t", F.posexplode(F.arrays_zip(F.slice("l", 1, n).alias("a"), F.slice("l", 2, n).alias("b"), F.slice("l", 3, n).alias("c"))).alias("w", "x"))
     own = [F.col(f"x.{k}.line") for k in "abc"]
-    return rows.select("doc_id", "w", F.array("x.a.at", "x.b.at", "x.c.at").alias("at"), F.xxhash64(*own).alias("h1"), F.xxhash64(F.lit(7), own[2], own[0], own[1]).alias("h2"))
+    return rows.select("doc_id", "t", "w", F.array("x.a.at", "x.b.at", "x.c.at").alias("at"), F.xxhash64(*own).alias("h1"), F.xxhash64(F.lit(7), own[2], own[0], own[1]).alias("h2"))
 
 
 def removed_lines(docs: DataFrame) -> DataFrame:
-    """(doc_id, text) to (doc_id, gone): the places of the lines to remove, merged over all windows that cover them.
+    """(doc_id, text) to (doc_id, t, gone): the places of the lines to remove, merged over all windows that cover them.
 
-    The windows go through one exchange to find what recurs, minima and counts being
+    Windows are made once and kept in the shared folder. They go through one exchange to find what recurs, minima and counts being
     taken before it, and through another to join that to its occurrences; both carry
     hashes and numbers only. Each occurrence draws one of ``SALTS`` tasks, and what
     recurs is sent to all of them.
     """
-    found = windows(docs)
-    again = found.groupBy("h1", "h2").agg(F.count("*").alias("n"), F.min(F.struct("doc_id", "w")).alias("first")).where(F.col("n") > 1)
-    again = again.select("h1", "h2", F.col("first.doc_id").alias("first_doc"), F.col("first.w").alias("first_w"), F.explode(F.sequence(F.lit(0), F.lit(SALTS - 1))).alias("salt"))
-    later = found.withColumn("salt", F.pmod(F.xxhash64("doc_id", "w"), F.lit(SALTS)).cast("int")).join(again, ["h1", "h2", "salt"])
-    same = F.col("doc_id").eqNullSafe(F.col("first_doc"))
+    found = cut_lineage(windows(docs))
+    again = found.groupBy("h1", "h2").agg(F.count("*").alias("n"), F.min(F.struct("doc_id", "t", "w")).alias("first")).where(F.col("n") > 1)
+    again = again.select("h1", "h2", F.col("first.doc_id").alias("first_doc"), F.col("first.t").alias("first_t"), F.col("first.w").alias("first_w"), F.explode(F.sequence(F.lit(0), F.lit(SALTS - 1))).alias("salt"))
+    later = found.withColumn("salt", F.pmod(F.xxhash64("doc_id", "t", "w"), F.lit(SALTS)).cast("int")).join(again, ["h1", "h2", "salt"])
+    same = F.col("doc_id").eqNullSafe(F.col("first_doc")) & (F.col("t") == F.col("first_t"))
     later = later.where(~(same & (F.col("w") == F.col("first_w"))))
     lost = F.filter("at", lambda x, k: ~same | (F.col("w") + k >= F.col("first_w") + WINDOW))
-    return later.select("doc_id", F.explode(lost).alias("line")).groupBy("doc_id").agg(F.collect_set("line").alias("gone"))  # at most a document's lines
+    return later.select("doc_id", "t", F.explode(lost).alias("line")).groupBy("doc_id", "t").agg(F.collect_set("line").alias("gone"))  # at most a document's lines
 
 
 def line_dedup(docs: DataFrame) -> DataFrame:
     """docs (doc_id, text, ...) to the same with text shortened, n_lines, n_removed and spans (runs of removed lines).
 
     Every row stays, with an empty text if all its lines go; texts that lose nothing are
-    unchanged, to the byte. Null texts stay null. doc_id names a document: of rows
-    that repeat it the first occurrence is told by the place in the text only, and
-    all rows of the id lose the lines at the same places. Columns of docs that are named
+    unchanged, to the byte. Null texts stay null. An id and a text name a document: rows that share an id, or
+    have none, but hold other texts are documents of their own, in the order of id (null first), then of the text's hash; rows that
+    are equal in both are one document and lose the same lines. Columns of docs that are named
     like those added are replaced.
     """
-    gone = cut_lineage(removed_lines(docs.select("doc_id", "text"))).withColumnRenamed("doc_id", "_id").withColumnRenamed("gone", "_gone")
+    gone = cut_lineage(removed_lines(docs.select("doc_id", "text"))).withColumnsRenamed({"doc_id": "_id", "t": "_t", "gone": "_gone"})
+    n = gone.agg(F.count("*") + F.coalesce(F.sum(F.size("_gone")), F.lit(0))).first()[0]
     own = docs.select("doc_id", "text", F.struct(*docs.columns).alias("_row"))  # so that no column of docs is taken for one of ours
-    joined = own.join(gone, F.col("doc_id").eqNullSafe(F.col("_id")), "left")
+    joined = own.join(small(gone, n, BROADCAST_ROWS), F.col("doc_id").eqNullSafe(F.col("_id")) & (F.xxhash64("text") == F.col("_t")), "left")
     joined = joined.withColumn("_places", F.array_sort(F.coalesce("_gone", F.array().cast("array<int>"))))
     raw = F.split("text", "\n")
     stay = F.array_except(F.sequence(F.lit(0), F.size("_raw") - 1), F.col("_places"))
