@@ -51,11 +51,22 @@ STAGES = [
 ORACLE_SQL = None
 
 
+def _remove(spark: SparkSession, path: str) -> None:
+    hadoop = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
+    hadoop.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(hadoop, True)
+
+
 def run(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """The sharded documents: the columns of documents, shard and slot."""
+    """The sharded documents: the columns of documents, shard and slot.
+
+    A stage's table goes when the next one's is complete; the last one's stays, for it is what the result reads.
+    """
     folder = f"{checkpoint_dir(spark)}/pipeline-{uuid.uuid4().hex}"
-    docs = read_table(spark, sf_dir, "documents")
+    docs, before = read_table(spark, sf_dir, "documents"), None
     for k, (name, stage) in enumerate(STAGES):
         stage(spark, docs, sf_dir).write.parquet(path := f"{folder}/{k}-{name}")
         docs = spark.read.parquet(path)
+        if before is not None:
+            _remove(spark, before)
+        before = path
     return docs

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import os
 import re
 
 import corpus_pipeline
@@ -105,6 +106,8 @@ def test_run_is_brute_force(spark, tmp_path, monkeypatch):
     assert len(mixed) != len(kept)
     want = sorted((r["doc_id"], r["shard"], r["slot"]) for r in _sql(sharding.ORACLE["op6_hilbert_sharding"], mixed, names))
     out = corpus_pipeline.run(spark, str(folder))
+    left = {f.rsplit("/", 2)[-2] for f in out.inputFiles()}
+    assert left == {"4-hilbert_sharding"} and os.listdir(out.inputFiles()[0].removeprefix("file:").replace("///", "/").rsplit("/", 2)[0]) == ["4-hilbert_sharding"]
     assert out.columns == [*names, "shard", "slot"]
     got = out.collect()
     assert sorted((r["doc_id"], r["shard"], r["slot"]) for r in got) == want
