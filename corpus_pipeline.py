@@ -15,7 +15,7 @@ from framewright.llm.common import checkpoint_dir, read_table
 
 
 def language_id(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Keeps documents in a language that was learned from docs; those without letters go, and those in which no language has two fifths of the probability."""
+    """Keeps documents in a language that was learned from docs; those without letters go, and those in which no language has 0.35 of the probability."""
     return langid.keep_identified(docs, langid.train(docs))
 
 

@@ -40,7 +40,7 @@ WINDOW = CORE + 2 * CONTEXT
 STEP = 32
 BLOCK_BYTES = 2_000_000
 #: ``keep_identified`` rejects documents of whose letters no language has so much of the probability: one that is half in another language stays.
-MIN_SCORE = 0.4
+MIN_SCORE = 0.35
 _LETTER = np.zeros(256, bool)
 _LETTER[[*range(97, 123), *range(128, 256)]] = True
 _BLANK = 32
