@@ -3,7 +3,9 @@
 A line, and a text as a whole, is normalised to its words in lower case and compared
 with each template by the Dice coefficient 2|A & B| / (|A| + |B|) over their sets of word
 bigrams. So are runs of lines, for a licence may be wrapped and stand in a longer text. A template can reach the threshold t only if its number of bigrams is between
-|A| t / (2 - t) and |A| (2 - t) / t; the others are passed over by size alone.
+|A| t / (2 - t) and |A| (2 - t) / t; the others are passed over by size alone. What reaches it has
+t / (2 - t) of the template's bigrams at least, so texts that lack so many of some telling words (``anchors``)
+that the bigrams without these are too few for any template are passed over whole.
 """
 
 from __future__ import annotations
@@ -14,7 +16,7 @@ from math import ceil
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from framewright.llm.common import read_table
+from framewright.llm.common import cut_lineage, read_table
 
 MIN_DICE = 0.8
 
@@ -81,6 +83,8 @@ FULL_TEXTS = [
     ),
 ]
 WORDS = r"[^\p{L}\p{N}]+"
+# Common English words, which tell nothing of a text.
+COMMON = set("a all an and any are as at be by can for from if in into is it may more must no not of on or other shall such that the this to under use used will with without you your".split())
 
 
 def normal_words(text: Column) -> Column:
@@ -98,6 +102,75 @@ def template_bigrams(template: str) -> list[str]:
     return list(dict.fromkeys(f"{a} {b}" for a, b in zip(words, words[1:], strict=False)))
 
 
+def _holds(gram: list[str], word: str) -> bool:
+    """Whether a text of which no word is this one, or starts with it if it has four letters or more, lacks the bigram."""
+    return word in gram if len(word) < 4 else any(w.startswith(word) for w in gram)
+
+
+def _choice(ends: list[str]) -> str:
+    """A regular expression for any of some texts, longer ones first, that looks at each letter once; a text's last sign may be a blank for the end of a word."""
+    by_head: dict[str, list[str]] = {}
+    for x in ends:
+        by_head.setdefault(x[:1], []).append(x[1:])
+    parts = []
+    for head, rest in sorted(by_head.items(), reverse=True):  # the empty one comes last
+        own = "(?![a-z0-9])" if head == " " else head
+        parts.append(own + (_choice(rest) if any(rest) else "") if head else "")
+    return parts[0] if len(parts) == 1 else f"(?:{'|'.join(parts)})"
+
+
+def anchors(templates: list[tuple[str, str]], min_dice: float = MIN_DICE) -> tuple[list[str], list[tuple[int, dict[int, int]]]]:
+    """Words, and for each template how many of its bigrams a text may miss, and how many it surely misses for each word that it lacks.
+
+    Each bigram counts for one word that it holds, as a word or the start of one. Words are taken by
+    the number of bigrams that then count for them, common and short ones last: first until more count than a text may miss, then,
+    of telling words only, until half as many again do.
+    """
+    known = [[g.split(" ") for g in template_bigrams(text)] for _, text in templates]
+    may_miss = [len(own) - ceil(len(own) * min_dice / (2 - min_dice) - 1e-9) for own in known]
+    left = [list(own) for own in known]
+    words: list[str] = []
+    counts: list[dict[int, int]] = [{} for _ in known]
+    telling = lambda w: w not in COMMON and len(w) >= 4
+    for want, every_word in (([n + 1 for n in may_miss], True), ([n + 1 + n // 2 for n in may_miss], False)):
+        while True:
+            wanting = [n - sum(c.values()) for n, c in zip(want, counts, strict=True)]
+            every = sorted({w for own, n in zip(left, wanting, strict=True) if n > 0 for g in own for w in g if telling(w) or every_word})
+            if not every:
+                break
+            gain = {w: sum(min(max(n, 0), sum(_holds(g, w) for g in own)) for own, n in zip(left, wanting, strict=True)) for w in every}
+            best = max(every, key=lambda w: (telling(w), w not in COMMON, gain[w], len(w)))
+            for k, own in enumerate(left):
+                if n := sum(_holds(g, best) for g in own):
+                    counts[k][len(words)] = n
+                    left[k] = [g for g in own if not _holds(g, best)]
+            words.append(best)
+    return words, list(zip(may_miss, counts, strict=True))
+
+
+def may_hold(text: Column, templates: list[tuple[str, str]], min_dice: float = MIN_DICE) -> Column:
+    """Whether a text has words enough for anything in it to be like one of the templates. One pass of a regular expression."""
+    words, rules = anchors(templates, min_dice)
+    # At the start of a word or after any letter that is not ASCII, which is no less.
+    choice = _choice([w if len(w) >= 4 else f"{w} " for w in words])
+
+    def fits(found: Column) -> Column:
+        lacking = F.transform(F.array(*[F.lit(w) for w in words]), lambda w: (~F.exists(found, lambda x: F.startswith(x, w))).cast("int"))
+
+        def any_template(lacks: Column) -> Column:
+            out = F.lit(False)
+            for n, counts in rules:
+                missed = F.lit(0)
+                for k, count in counts.items():
+                    missed = missed + F.get(lacks, F.lit(k)) * count
+                out = out | (missed <= n)
+            return out
+
+        return F.when(F.size(found) == 0, F.lit(False)).otherwise(_let(lacking, any_template))
+
+    return _let(F.array_distinct(F.regexp_extract_all(F.lower(text), F.lit(rf"(?:^|[^a-z0-9])({choice})"), F.lit(1))), fits)
+
+
 def scan_units(units: DataFrame, keep: list[str], templates: list[tuple[str, str]] | None = None, min_dice: float = MIN_DICE) -> DataFrame:
     """units (keep, unit) to (keep, license, dice), for those that are like a template: the likest, of equals the first by name.
 
@@ -183,11 +256,16 @@ def license_scan(docs: DataFrame, templates: list[tuple[str, str]] | None = None
     """(doc_id, text) to a row for each line, each run of lines, and each whole text of several lines, that is like a template.
 
     doc_id, line_no (from 1; a run's first; 0 for the whole text), license, dice. Null and empty texts
-    have no row; repeated rows each have theirs. No exchange.
+    have no row; repeated rows each have theirs. Templates of less than two words are like nothing. No exchange.
     """
+    known = [(name, text) for name, text in (TEMPLATES + FULL_TEXTS if templates is None else templates) if template_bigrams(text)]
+    if not known:
+        return docs.select("doc_id", F.lit(0).cast("long").alias("line_no"), F.lit("").alias("license"), F.lit(0.0).alias("dice")).limit(0)
+    # Those that remain are kept, so that lines, runs and whole texts do not each look for them again.
+    docs = cut_lineage(docs.select("doc_id", "text").where(may_hold(F.col("text"), known, min_dice)))
     lines = docs.select("doc_id", F.posexplode_outer(F.split("text", "\n")).alias("at", "unit")).where(F.col("unit").isNotNull()).select("doc_id", (F.col("at") + 1).cast("long").alias("line_no"), "unit")
     whole = docs.where(F.instr("text", "\n") > 0).select("doc_id", F.lit(0).cast("long").alias("line_no"), F.col("text").alias("unit"))
-    return scan_units(lines.union(whole), ["doc_id", "line_no"], templates, min_dice).union(scan_runs(docs, templates, min_dice))
+    return scan_units(lines.union(whole), ["doc_id", "line_no"], known, min_dice).union(scan_runs(docs, known, min_dice))
 
 
 def op5_license_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
