@@ -11,6 +11,7 @@ that the bigrams without these are too few for any template are passed over whol
 from __future__ import annotations
 
 import re
+from functools import cache
 from math import ceil
 
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -119,7 +120,8 @@ def _choice(ends: list[str]) -> str:
     return parts[0] if len(parts) == 1 else f"(?:{'|'.join(parts)})"
 
 
-def anchors(templates: list[tuple[str, str]], min_dice: float = MIN_DICE) -> tuple[list[str], list[tuple[int, dict[int, int]]]]:
+@cache
+def anchors(templates: tuple[tuple[str, str], ...], min_dice: float = MIN_DICE) -> tuple[list[str], list[tuple[int, dict[int, int]]]]:
     """Words, and for each template how many of its bigrams a text may miss, and how many it surely misses for each word that it lacks.
 
     Each bigram counts for one word that it holds, as a word or the start of one. Words are taken by
@@ -150,7 +152,7 @@ def anchors(templates: list[tuple[str, str]], min_dice: float = MIN_DICE) -> tup
 
 def may_hold(text: Column, templates: list[tuple[str, str]], min_dice: float = MIN_DICE) -> Column:
     """Whether a text has words enough for anything in it to be like one of the templates. One pass of a regular expression."""
-    words, rules = anchors(templates, min_dice)
+    words, rules = anchors(tuple(templates), min_dice)
     # At the start of a word or after any letter that is not ASCII, which is no less.
     choice = _choice([w if len(w) >= 4 else f"{w} " for w in words])
 

@@ -56,7 +56,7 @@ def test_words_that_must_stand_are_enough():
     """By the definition: what has t / (2 - t) of a template's bigrams is never passed over."""
     rng = random.Random(1)
     templates = licenses.TEMPLATES + licenses.FULL_TEXTS
-    words, rules = licenses.anchors(templates)
+    words, rules = licenses.anchors(tuple(templates))
     assert len(rules) == len(templates) and all(sum(counts.values()) > n for n, counts in rules)
     for (_, text), (n, counts) in zip(templates, rules, strict=True):
         grams = licenses.template_bigrams(text)
