@@ -17,14 +17,15 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from framewright.llm.common import map_arrow, read_table
+from framewright.llm.common import map_arrow, read_table, text_blocks
 from framewright.llm.tiling import tiles
 
 MIN_MATCH = 5
 MIN_COVERAGE = 0.5
 #: Bytes of items' texts that are sent to all executors at once; more go in several passes.
 BLOCK_BYTES = 32_000_000
-#: Tokens of documents that are hashed together.
+#: Bytes of documents' texts that are held as strings, and tokens that are hashed, together.
+TEXT_BYTES = 4_000_000
 BLOCK_TOKENS = 500_000
 _FACTOR = np.uint64(0x9E3779B97F4A7C15)
 _TOKEN = re.compile(r"\w+")
@@ -157,7 +158,7 @@ def contaminated_pairs(docs: DataFrame, benchmark: DataFrame, min_coverage: floa
 
         def run(batches: Iterator[pa.RecordBatch], own=own) -> Iterator[pa.RecordBatch]:
             items = own()
-            for batch in batches:
+            for batch in text_blocks(batches, 1, TEXT_BYTES):
                 out = []
                 for doc, item, n, covered in items.hits(batch.column(1).to_pylist()):
                     item_id, pattern = items.items[item]
@@ -179,7 +180,7 @@ def drop_contaminated(docs: DataFrame, benchmark: DataFrame, min_coverage: float
 
         def run(batches: Iterator[pa.RecordBatch], own=own) -> Iterator[pa.RecordBatch]:
             items = own()
-            for batch in batches:
+            for batch in text_blocks(batches, at, TEXT_BYTES):
                 keep = np.ones(batch.num_rows, bool)
                 for doc, item, _, covered in items.hits(batch.column(at).to_pylist()):
                     keep[doc] &= covered < min_coverage * len(items.items[item][1])
